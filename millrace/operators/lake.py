@@ -14,39 +14,41 @@ from __future__ import annotations
 import datetime as dt
 import json
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.quality import unique
 from millrace.schemas import CREATED_DAY
 from millrace.session import cut_lineage
 from millrace.sinks.tables import with_day
 
 LOG = "version bigint, operation string, committed_at timestamp, days bigint, table_schema string"
 STORED = "stored_as"
+NULL_REQUIRED = "required field is null"
 
 
 class ConstraintError(ValueError):
     """Rows violate the table's required fields or its key."""
 
 
-@dataclass(frozen=True)
+def _required(column: str) -> Column:
+    return F.coalesce(F.col(column), F.raise_error(F.lit(f"{NULL_REQUIRED}: {column}")))
+
+
 class LakeTable:
-    """A keyed table partitioned by the day of one timestamp. Required fields are the non-nullable ones."""
+    """A keyed table partitioned by the day of one timestamp. Required fields are the non-nullable ones.
 
-    spark: SparkSession
-    root: str
-    keys: tuple[str, ...]
-    ts: str
+    The object remembers the schema and version it last saw: another process's change shows after
+    opening the table again.
+    """
 
-    @property
-    def data(self) -> str:
-        return f"{self.root}/data"
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], ts: str):
+        self.spark, self.root, self.keys, self.ts = spark, root.rstrip("/"), tuple(keys), ts
+        self.data, self.log = f"{self.root}/data", f"{self.root}/log"
+        self.version, self.schema = self._latest()
 
     # -- definition -----------------------------------------------------------------------------
 
@@ -55,33 +57,35 @@ class LakeTable:
         cls, spark: SparkSession, root: str, schema: T.StructType, keys: Sequence[str], ts: str
     ) -> LakeTable:
         """Open the table at ``root``, creating it with ``schema`` when absent."""
-        table = cls(spark, root.rstrip("/"), tuple(keys), ts)
-        if table._last() is None:
+        table = cls(spark, root, keys, ts)
+        if table.schema is None:
             table._commit("create", 0, schema)
         return table
 
     def history(self) -> DataFrame:
         """Committed changes, oldest first."""
-        return self.spark.read.schema(LOG).json(f"{self.root}/log").orderBy("version")
+        return self.spark.read.schema(LOG).json(self.log).orderBy("version")
 
-    def _last(self):
+    def _latest(self) -> tuple[int, T.StructType | None]:
         try:
-            return self.spark.read.schema(LOG).json(f"{self.root}/log").orderBy(F.desc("version")).first()
+            last = self.history().orderBy(F.desc("version")).first()
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
-                return None
+                return -1, None
             raise
-
-    @property
-    def schema(self) -> T.StructType:
-        return T.StructType.fromJson(json.loads(self._last()["table_schema"]))
+        return last["version"], T.StructType.fromJson(json.loads(last["table_schema"]))
 
     def _commit(self, operation: str, days: int, schema: T.StructType | None = None) -> None:
-        last = self._last()
-        version = 0 if last is None else last["version"] + 1
-        text = schema.json() if schema is not None else last["table_schema"]
-        record = self.spark.createDataFrame([(version, operation, dt.datetime.now(), days, text)], LOG)
-        record.coalesce(1).write.mode("append").json(f"{self.root}/log")
+        schema = schema or self.schema
+        record = self.spark.range(0, 1, 1, 1).select(
+            F.lit(self.version + 1).cast("bigint").alias("version"),
+            F.lit(operation).alias("operation"),
+            F.current_timestamp().alias("committed_at"),
+            F.lit(days).cast("bigint").alias("days"),
+            F.lit(schema.json()).alias("table_schema"),
+        )
+        record.write.mode("append").json(self.log)
+        self.version, self.schema = self.version + 1, schema
 
     # -- reading --------------------------------------------------------------------------------
 
@@ -128,14 +132,22 @@ class LakeTable:
     # -- changing -------------------------------------------------------------------------------
 
     def append(self, rows: DataFrame) -> None:
-        rows = self._checked(rows)
-        self._write(with_day(rows, self.ts, CREATED_DAY), "append")
-        self._commit("append", rows.select(F.to_date(self.ts)).distinct().count())
+        """Add rows in one pass: a null in a required field stops the load, and nothing is added."""
+        rows, written = self._conformed(rows), Observation()
+        guarded = rows.withColumns({c: _required(c) for c in self._required()})
+        placed = with_day(guarded, self.ts, CREATED_DAY).observe(written, F.collect_set(CREATED_DAY).alias("days"))
+        try:
+            self._write(placed, "append")
+        except PySparkException as error:
+            if NULL_REQUIRED in str(error):
+                raise ConstraintError(f"a required field of {self._required()} is null") from error
+            raise
+        self._commit("append", len(written.get["days"]))
 
     def upsert(self, rows: DataFrame) -> None:
         """Replace rows with the same key, insert the others. Rows equal to the stored ones change
         nothing, so running the same upsert again rewrites no day."""
-        rows = cut_lineage(self._checked(rows))
+        rows = self._checked(rows)
         stored, keys = self._stored(), list(self.keys)
         # Only keys and day of the whole table are read to find the days that matter; whole rows are
         # read from those days alone.
@@ -152,7 +164,7 @@ class LakeTable:
 
     def overwrite(self, rows: DataFrame, where: Column | str) -> None:
         """Delete the rows matching ``where`` and add ``rows``."""
-        rows = cut_lineage(self._checked(rows))
+        rows = self._checked(rows)
         stored, match = self._stored(), self._match(where)
         new_days = with_day(rows, self.ts, CREATED_DAY).select(CREATED_DAY)
         days = self._days(stored.filter(match).select(CREATED_DAY).unionByName(new_days))
@@ -183,9 +195,8 @@ class LakeTable:
         schema = self.schema
         if name in schema.names:
             raise ValueError(f"column {name} exists")
-        version = self._last()["version"] + 1
-        field = T.StructField(name, T.StructType.fromDDL(f"c {type_}")["c"].dataType, True,
-                              {STORED: f"{name}__{version}"})
+        kind = T.StructType.fromDDL(f"c {type_}")["c"].dataType
+        field = T.StructField(name, kind, True, {STORED: f"{name}__{self.version + 1}"})
         self._commit("add_column", 0, T.StructType([*schema.fields, field]))
 
     def drop_column(self, name: str) -> None:
@@ -201,21 +212,29 @@ class LakeTable:
         condition = F.expr(where) if isinstance(where, str) else where
         return F.coalesce(condition, F.lit(False))
 
-    def _checked(self, rows: DataFrame) -> DataFrame:
-        """The table's columns (absent nullable ones as null); raises unless required fields are
-        filled and keys unique."""
-        schema = self.schema
-        rows = rows.select(
+    def _required(self) -> list[str]:
+        return [f.name for f in self.schema.fields if not f.nullable or f.name in self.keys or f.name == self.ts]
+
+    def _conformed(self, rows: DataFrame) -> DataFrame:
+        """The table's columns in order and type; absent ones are null."""
+        return rows.select(
             [
                 (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-                for f in schema.fields
+                for f in self.schema.fields
             ]
         )
-        required = [f.name for f in schema.fields if not f.nullable or f.name in self.keys or f.name == self.ts]
-        empty = rows.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in required]).first().asDict()
-        if any(empty.values()):
-            raise ConstraintError(f"required fields are null: { {c: n for c, n in empty.items() if n} }")
-        if not unique(rows, *self.keys).isEmpty():
+
+    def _checked(self, rows: DataFrame) -> DataFrame:
+        """Conformed rows, written down once; raises unless required fields are filled and keys unique."""
+        rows, required = cut_lineage(self._conformed(rows)), self._required()
+        per_key = rows.groupBy(*self.keys).agg(
+            F.count(F.lit(1)).alias("_n"), *[F.count_if(F.col(c).isNull()).alias(f"_{c}") for c in required]
+        )
+        found = per_key.agg(F.max("_n").alias("_n"), *[F.sum(f"_{c}").alias(c) for c in required]).first()
+        empty = {c: found[c] for c in required if found[c]}
+        if empty:
+            raise ConstraintError(f"required fields are null: {empty}")
+        if (found["_n"] or 0) > 1:
             raise ConstraintError(f"key {self.keys} is not unique in the given rows")
         return rows
 

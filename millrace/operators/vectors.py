@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator, Sequence
-from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -15,8 +15,10 @@ from pyspark.sql import types as T
 
 from millrace.functions import vectors as V
 from millrace.operators.project import joined_text
+from millrace.session import cut_lineage
 
 MAX_LOCAL_QUERIES = 2_000  # query vectors shipped to every task; more go through a shuffle
+MODEL_BATCH = 512  # texts per model call
 MAX_MATCHES = 50_000  # (query, rank) rows that may be broadcast
 BLOCK_ROWS = 20_000  # base rows per cell of the shuffled form
 CHUNK_CELLS = 2_000_000  # numbers held at once while distances are computed
@@ -27,11 +29,6 @@ Embedder = Callable[[Sequence[str]], np.ndarray]
 # -- embedding ----------------------------------------------------------------------------------
 
 
-@lru_cache(maxsize=200_000)
-def _bucket(word: str, size: int) -> int:
-    return int(hashlib.md5(word.encode()).hexdigest()[:4], 16) % size
-
-
 def hashed_words(size: int = 64) -> Embedder:
     """Deterministic offline embedder: counts of hashed lower-case words, scaled to length one.
 
@@ -39,11 +36,13 @@ def hashed_words(size: int = 64) -> Embedder:
     """
 
     def embed(texts: Sequence[str]) -> np.ndarray:
-        counts = np.zeros((len(texts), size))
-        for row, text in zip(counts, texts):
-            buckets = [_bucket(word, size) for word in text.lower().split(" ") if word]
-            if buckets:
-                row += np.bincount(buckets, minlength=size)
+        split = [text.lower().split(" ") for text in texts]
+        codes, words = pd.factorize(np.array(list(chain.from_iterable(split)), dtype=object))
+        hashed = [int.from_bytes(hashlib.md5(word.encode()).digest()[:2], "big") % size for word in words]
+        rows = np.repeat(np.arange(len(split)), [len(parts) for parts in split])
+        filled = (words != "")[codes]
+        cells = (rows * size + np.array(hashed)[codes])[filled]
+        counts = np.bincount(cells, minlength=len(split) * size).reshape(len(split), size).astype(float)
         lengths = np.sqrt((counts**2).sum(axis=1, keepdims=True))
         return np.divide(counts, lengths, out=counts, where=lengths > 0)
 
@@ -54,6 +53,8 @@ def embed_text(df: DataFrame, text: str, embedder: Embedder | None = None, name:
     """Add the embedding of a text column, a batch of rows per model call; null text gives null.
 
     ``embedder`` maps a list of texts to a matrix, one row per text; it is shipped to the executors.
+    Filter rows before embedding: the call is marked as not repeatable, so that no later filter makes
+    the optimizer run the model a second time.
     """
     model = embedder or hashed_words()
 
@@ -62,12 +63,13 @@ def embed_text(df: DataFrame, text: str, embedder: Embedder | None = None, name:
         for texts in batches:
             filled = texts.notna()
             vectors = pd.Series([None] * len(texts), index=texts.index, dtype=object)
-            if filled.any():
-                matrix = np.asarray(model(texts[filled].tolist()), dtype=float)
-                vectors[filled] = pd.Series(list(matrix), index=texts.index[filled])
+            known = texts[filled]
+            for start in range(0, len(known), MODEL_BATCH):
+                part = known.iloc[start : start + MODEL_BATCH]
+                vectors[part.index] = pd.Series(list(np.asarray(model(part.tolist()), dtype=float)), index=part.index)
             yield vectors
 
-    return df.withColumn(name, embed(F.col(text)))
+    return df.withColumn(name, embed.asNondeterministic()(F.col(text)))
 
 
 # -- nearest rows -------------------------------------------------------------------------------
@@ -98,11 +100,11 @@ def _keep_best(ids, gaps, best, k):
 
 def _scan_batch(ids, base, wanted, best, k, digits):
     """Update the per-query best rows with one batch of base vectors."""
-    step = max(1, CHUNK_CELLS // max(1, base.shape[1] * len(wanted)))
+    step = max(1, CHUNK_CELLS // max(1, base.shape[1]))
     for start in range(0, len(base), step):
         part, part_ids = base[start : start + step], ids[start : start + step]
         for q, target in enumerate(wanted):
-            gaps = np.sqrt(((part - target) ** 2).sum(axis=1))
+            gaps = np.sqrt(np.square(part - target).sum(axis=1))
             if digits is not None:
                 gaps = np.round(gaps, digits)
             best[q] = _keep_best(part_ids, gaps, best[q], k)
@@ -142,8 +144,8 @@ def nearest_for_each(
     shuffled co-group, so neither side has to fit anywhere. Vectors must share one length; rows with
     null vectors are left out. ``digits`` rounds distances before ranking, which makes near-ties stable.
     """
-    queries = queries.select(F.col(query_id).alias("query_id"), F.col(column).alias("vector")).dropna()
-    base = base.select(F.col(base_id).alias("base_id"), F.col(column).alias("vector")).dropna()
+    queries = queries.select(F.col(query_id).alias("query_id"), F.col(column).alias("vector"))
+    base = base.select(F.col(base_id).alias("base_id"), F.col(column).alias("vector"))
     schema = T.StructType(
         [
             T.StructField("query_id", queries.schema["query_id"].dataType),
@@ -154,7 +156,8 @@ def nearest_for_each(
     few = queries.limit(max_local + 1).collect()
     local = len(few) <= max_local
     if local:
-        found = _local_candidates([r[0] for r in few], [r[1] for r in few], base, k, digits, schema)
+        known = [row for row in few if None not in row]
+        found = _local_candidates([r[0] for r in known], [r[1] for r in known], base, k, digits, schema)
     else:
         found = _block_candidates(queries, base, k, digits, schema, max_local)
     window = Window.partitionBy("query_id").orderBy("distance", "base_id")
@@ -177,7 +180,8 @@ def _local_candidates(query_ids, vectors, base, k, digits, schema) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = [None] * len(wanted)
         for batch in batches:
-            if batch.num_rows:
+            batch = batch.drop_null()
+            if batch.num_rows and len(wanted):
                 ids = batch.column("base_id").to_numpy(zero_copy_only=False)
                 _scan_batch(ids, _matrix(batch.column("vector")), wanted, best, k, digits)
         found = _candidates(query_ids, best, types)
@@ -188,6 +192,7 @@ def _local_candidates(query_ids, vectors, base, k, digits, schema) -> DataFrame:
 
 
 def _block_candidates(queries, base, k, digits, schema, max_local) -> DataFrame:
+    queries, base = cut_lineage(queries), cut_lineage(base)  # counted, then read: computed once
     query_blocks = -(-queries.count() // max_local)
     base_blocks = max(1, -(-base.count() // BLOCK_ROWS))
     types = _arrow_types(schema)
@@ -200,6 +205,7 @@ def _block_candidates(queries, base, k, digits, schema, max_local) -> DataFrame:
     right = spread(base, "bb", base_blocks, "qb", query_blocks).groupBy("qb", "bb")
 
     def meet(q: pa.Table, b: pa.Table) -> pa.Table:
+        q, b = q.drop_null(), b.drop_null()
         empty = pa.RecordBatch.from_arrays([pa.array([], t) for t in types], names=schema.names)
         if not q.num_rows or not b.num_rows:
             return pa.Table.from_batches([empty])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.dates import in_range, month_bounds, month_name
 from millrace.functions.text import ratio
-from millrace.operators.project import joined_text, rename, side_by_side, top_by_count
+from millrace.operators.project import rename, top_by_count
 from millrace.plans.models import Project, model
 
 # Staging names of the source columns.
@@ -254,8 +254,8 @@ def conversion_rate_by_product(project: Project) -> DataFrame:
     )
 
 
-def lines_by_product(project: Project, state: str, year: int, month: int) -> DataFrame:
-    """Fact rows of one state and month per product name, counted by product key before names are joined."""
+def lines_in_month(project: Project, state: str, year: int, month: int) -> DataFrame:
+    """Fact rows of one state and month, counted by product key before the names are joined."""
     addresses = project.ref("stg_addresses").filter(F.col("state") == state).select("address_guid")
     orders = (
         project.ref("stg_orders")
@@ -269,38 +269,30 @@ def lines_by_product(project: Project, state: str, year: int, month: int) -> Dat
         .agg(F.count(F.lit(1)).alias("lines"))
     )
     products = project.ref("stg_products").select("product_guid", "product_name")
-    return (
-        counted.join(products, "product_guid", "left")
-        .groupBy("product_name")
-        .agg(F.sum("lines").alias("record_count"))
-    )
+    return counted.join(products, "product_guid", "left").select("product_name", "lines")
 
 
 def top_products(project: Project, state: str, year: int, month: int, k: int = 3) -> DataFrame:
     """The most ordered products of a state in a month; equal counts in name order."""
-    return top_by_count(lines_by_product(project, state, year, month), "product_name", k, weight="record_count")
+    return top_by_count(lines_in_month(project, state, year, month), "product_name", k, weight="lines")
 
 
 def monthly_summary(project: Project, state: str, year: int, month: int, k: int = 3) -> DataFrame:
     """One sentence about a state's month: its top products and its number of fact rows.
 
-    The count is of order lines, as the fact's grain is the line.
+    The count is of order lines, as the fact's grain is the line. The month's total is the rollup row
+    above the products, so one pass gives both; after the limit only ``k + 1`` rows are left to word.
     """
-    by_product = lines_by_product(project, state, year, month)
-    ordered = by_product.orderBy(F.desc("record_count"), F.asc_nulls_last("product_name")).limit(k)
-    names = joined_text(
-        ordered.select(F.struct(-F.col("record_count"), "product_name").alias("rank"), "product_name"),
-        "product_name",
-        ", ",
+    rolled = (
+        lines_in_month(project, state, year, month)
+        .rollup("product_name")
+        .agg(F.sum("lines").alias("record_count"), F.grouping("product_name").alias("is_total"))
     )
-    total = by_product.agg(F.coalesce(F.sum("record_count"), F.lit(0)).alias("record_count"))
-    both = side_by_side(names.withColumnRenamed("product_name", "names"), total)
+    best = rolled.orderBy(F.desc("is_total"), F.desc("record_count"), F.asc_nulls_last("product_name")).limit(k + 1)
+    ranked = F.when(F.col("is_total") == 0, F.struct((-F.col("record_count")).alias("rank"), "product_name"))
+    names = F.transform(F.array_sort(F.collect_list(ranked)), lambda pair: pair["product_name"])
+    total = F.coalesce(F.max(F.when(F.col("is_total") == 1, F.col("record_count"))), F.lit(0))
+    place = state.replace("%", "%%")
+    sentence = f"In {place}, the most ordered houseplants are %s. In %s, there were %d orders."
     when = month_name(F.make_date(F.lit(year), F.lit(month), F.lit(1)))
-    return both.select(
-        F.format_string(
-            f"In {state.replace('%', '%%')}, the most ordered houseplants are %s. In %s, there were %d orders.",
-            F.coalesce("names", F.lit("")),
-            when,
-            "record_count",
-        ).alias("text")
-    )
+    return best.agg(F.format_string(sentence, F.concat_ws(", ", names), when, total).alias("text"))

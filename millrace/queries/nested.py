@@ -6,6 +6,7 @@ from millrace.functions import jsonpath, nested
 from millrace.plans.bindings import table
 from millrace.queries.registry import query
 from millrace.schemas import struct
+from millrace.session import spread
 
 
 @query("""SELECT o_orderkey, unnest([o_orderstatus, o_orderpriority, 'order']) AS tag FROM orders""")
@@ -40,7 +41,7 @@ def struct_fields(spark, folder):
 
 def _documents(spark, folder):
     """Orders as JSON text with a string, a number, an array and an object."""
-    orders = table(spark, folder, "orders")
+    orders = spread(table(spark, folder, "orders"))
     document = F.struct(
         F.col("o_orderpriority").alias("name"),
         F.col("o_orderkey").alias("age"),
@@ -55,16 +56,15 @@ def _documents(spark, folder):
     '{"zone":"' || o_orderstatus || '","area":' || CAST(o_custkey AS VARCHAR) || '}' AS place,
     CAST(NULL AS VARCHAR) AS absent FROM orders""")
 def json_query(spark, folder):
-    found = [jsonpath.json_query(F.col("body"), f"$.{n}").alias(n) for n in ("name", "age", "fruits", "place", "absent")]
-    return _documents(spark, folder).select("o_orderkey", *found)
+    paths = {name: f"$.{name}" for name in ("name", "age", "fruits", "place", "absent")}
+    return jsonpath.with_json(_documents(spark, folder), "body", queries=paths).drop("body")
 
 
 @query("""SELECT o_orderkey, o_orderpriority AS name, CAST(o_orderkey AS VARCHAR) AS age, CAST(NULL AS VARCHAR) AS fruits,
     CAST(NULL AS VARCHAR) AS place, o_orderstatus AS zone FROM orders""")
 def json_value(spark, folder):
-    found = [jsonpath.json_value(F.col("body"), f"$.{n}").alias(n) for n in ("name", "age", "fruits", "place")]
-    zone = jsonpath.json_value(F.col("body"), "$.place.zone").alias("zone")
-    return _documents(spark, folder).select("o_orderkey", *found, zone)
+    paths = {name: f"$.{name}" for name in ("name", "age", "fruits", "place")} | {"zone": "$.place.zone"}
+    return jsonpath.with_json(_documents(spark, folder), "body", values=paths).drop("body")
 
 
 @query("SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")

@@ -6,7 +6,7 @@ from millrace.functions import vectors as V
 from millrace.operators import vectors as R
 from millrace.plans.bindings import table
 from millrace.queries.registry import query
-from millrace.session import scratch
+from millrace.session import scratch, spread
 
 FIRST = "(SELECT CAST(embedding AS DOUBLE[]) FROM embeddings WHERE vec_id = 0)"
 
@@ -95,7 +95,7 @@ MOMENTS = """CAST(len([x for x in vector if x > 0]) AS INTEGER) AS filled, round
 
 @query(f"SELECT doc_id, {MOMENTS} FROM ({embedding_sql('documents', 'doc_id')})")
 def embed_text(spark, folder):
-    documents = table(spark, folder, "documents").select("doc_id", "text")
+    documents = spread(table(spark, folder, "documents").select("doc_id", "text"))
     return R.embed_text(documents, "text").select("doc_id", *_moments("embedding"))
 
 
@@ -104,7 +104,7 @@ def embed_text(spark, folder):
 def store_vectors(spark, folder):
     """Text and vector rows written, replaced and read back."""
     path = scratch(spark, "vectors")
-    R.embed_text(table(spark, folder, "documents").select("text"), "text").write.mode("overwrite").parquet(path)
+    R.embed_text(spread(table(spark, folder, "documents").select("text")), "text").write.mode("overwrite").parquet(path)
     return spark.read.parquet(path).select("text", *_moments("embedding"))
 
 
@@ -119,7 +119,7 @@ def rag_context(spark, folder):
     """For every benchmark question a prompt holding its three nearest documents."""
     questions, documents = table(spark, folder, "benchmark"), table(spark, folder, "documents")
     asked = R.embed_text(questions.select("item_id", "text"), "text")
-    base = R.embed_text(documents.select("doc_id", "text"), "text")
+    base = R.embed_text(spread(documents.select("doc_id", "text")), "text")
     matches = R.nearest_for_each(asked, base, 3, "item_id", "doc_id", digits=6)
     contexts = R.retrieval_context(matches, documents, "doc_id", "text")
     return R.prompt(contexts, questions, "item_id", "text")

@@ -62,8 +62,18 @@ def scratch(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in reliable storage, so that later steps survive lost executors."""
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint()
+    """``df`` written to the shared folder and read back: later steps survive lost executors, read only
+    the columns they need and know the size of what they join."""
+    path = scratch(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """A bare file scan, dealt out to all cores when it has fewer splits than there are cores.
+
+    For work that costs much per row. A large input has more splits than cores and is left alone, so
+    this never shuffles one.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
