@@ -51,7 +51,7 @@ def apply_snapshot(history: DataFrame, source: DataFrame, key: str, ts: str) ->
     return closed.unionByName(rewritten)
 
 
-def history_from_log(log: DataFrame, key: str, ts: str, bucket: str = "day") -> DataFrame:
+def history_from_log(log: DataFrame, key: str, ts: str, bucket: str = "hour") -> DataFrame:
     """History out of a full change log.
 
     The next version is looked up in two steps, so that a key holding much of the log is spread over

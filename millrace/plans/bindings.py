@@ -10,14 +10,23 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.text import name_part
 from millrace.plans import commerce, rail  # noqa: F401  (registers the models)
 from millrace.plans.models import Project
 
 
+_SCHEMAS: dict[tuple[str, str], T.StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    """A test table; its footer is read for the schema once per application, not once per use."""
+    path = f"{folder.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SCHEMAS:
+        _SCHEMAS[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[key]).parquet(path)
 
 
 def users(spark: SparkSession, folder: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.dates import in_range, month_bounds, month_name
 from millrace.functions.text import ratio
+from millrace.operators.joins import left_join_lines
 from millrace.operators.project import rename, top_by_count
 from millrace.plans.models import Project, model
 
@@ -90,18 +91,16 @@ def stg_events(project: Project) -> DataFrame:
 def int_orders_joined(project: Project) -> DataFrame:
     """Order lines with user, delivery address and product; the address is the order's own.
 
-    The order-side joins come first, at order grain; lines and products follow. Hot keys always sit on
-    the left, the side AQE may split under a left join.
+    The order-side joins come first, at order grain; lines and products follow. A hot user, address or
+    product sits on the left, which AQE can split; a hot order is split among its lines.
     """
     users = project.ref("stg_users").select("user_guid", F.col("created_at_utc").alias("user_created_at_utc"))
     addresses = project.ref("stg_addresses").select("address_guid", "zipcode", "state", "country")
     lines = project.ref("stg_order_items")
     products = project.ref("stg_products")
+    orders = project.ref("stg_orders").join(users, "user_guid", "left").join(addresses, "address_guid", "left")
     return (
-        project.ref("stg_orders")
-        .join(users, "user_guid", "left")
-        .join(addresses, "address_guid", "left")
-        .join(lines, "order_guid", "left")
+        left_join_lines(orders, lines, "order_guid")
         .join(products, "product_guid", "left")
         .select(
             "order_guid", "order_created_at_utc", "order_cost_usd", "shipping_cost_usd", "order_total_usd",
@@ -118,8 +117,7 @@ def int_order_lines(project: Project) -> DataFrame:
     lines = project.ref("stg_order_items").withColumnRenamed("product_guid", "line_product_guid")
     products = project.ref("stg_products")
     return (
-        project.ref("stg_orders")
-        .join(lines, "order_guid", "left")
+        left_join_lines(project.ref("stg_orders"), lines, "order_guid")
         .join(products, F.col("line_product_guid") == products["product_guid"], "left")
         .select(
             "order_guid", "user_guid", "product_guid", "product_name", "promo_guid", "order_cost_usd",
@@ -207,7 +205,7 @@ def checkouts_by_product(project: Project) -> DataFrame:
     events = (
         project.ref("stg_events")
         .filter(F.col("order_guid").isNotNull())
-        .groupBy(F.col("order_guid").alias("event_order_guid"))
+        .groupBy("order_guid")
         .agg(F.sum(_flag("checkout")).alias("checkouts"))
     )
     lines = (
@@ -216,7 +214,7 @@ def checkouts_by_product(project: Project) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("lines"))
     )
     return (
-        events.join(lines, events["event_order_guid"] == lines["order_guid"], "left")
+        left_join_lines(events, lines, "order_guid")
         .groupBy("product_guid", "product_name")
         .agg(F.sum(F.col("checkouts") * F.coalesce("lines", F.lit(1))).alias("checkout_count"))
     )
@@ -263,8 +261,9 @@ def lines_in_month(project: Project, state: str, year: int, month: int) -> DataF
         .select("order_guid", "address_guid")
         .join(addresses, "address_guid")
     )
+    lines = project.ref("stg_order_items").select("order_guid", "product_guid")
     counted = (
-        orders.join(project.ref("stg_order_items").select("order_guid", "product_guid"), "order_guid", "left")
+        left_join_lines(orders, lines, "order_guid")
         .groupBy("product_guid")
         .agg(F.count(F.lit(1)).alias("lines"))
     )

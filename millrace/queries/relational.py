@@ -8,6 +8,7 @@ from millrace.functions.dates import in_range, month_bounds
 from millrace.functions.text import is_email, ratio
 from millrace.operators import project as P
 from millrace.operators import quality, sets
+from millrace.operators.joins import left_join_lines
 from millrace.plans.bindings import project, table
 from millrace.queries.registry import query
 from millrace.queries.roles import with_roles
@@ -103,7 +104,7 @@ def join_events_order_lines(spark, folder):
     shop = project(spark, folder)
     events = shop.source("events").filter(F.col("order_id").isNotNull()).select("event_id", "order_id")
     lines = shop.source("order_items").select("order_id", "product_id")
-    return events.join(lines, "order_id", "left").select("event_id", "order_id", "product_id")
+    return left_join_lines(events, lines, "order_id").select("event_id", "order_id", "product_id")
 
 
 @query("""SELECT l.l_orderkey, l.l_partkey, l.l_suppkey, l.l_linenumber, r.returned_quantity
