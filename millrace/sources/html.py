@@ -38,5 +38,5 @@ def listing(pages: DataFrame, html: str, row_pattern: str, cells: Mapping[str, C
 def cell_texts(pages: DataFrame, html: str, row_pattern: str, cell_pattern: str) -> DataFrame:
     """Row fragments as arrays of their cell texts, for tables without a fixed set of columns."""
     rows = listing(pages, html, row_pattern, {"row": Cell([r"(?s)(.*)"])})
-    cells = F.transform(F.regexp_extract_all("row", F.lit(cell_pattern), F.lit(1)), F.trim)
+    cells = F.transform(F.regexp_extract_all("row", F.lit(cell_pattern), F.lit(1)), lambda cell: F.trim(cell))
     return rows.withColumn("cells", cells).drop("row")
