@@ -6,18 +6,18 @@ the whole job has succeeded, so lost executors only cost a retry. One writer at
 from ``scan`` before a change must be taken again after it.
 
 Layout: ``<root>/data/<day>=.../`` holds rows, ``<root>/log/`` one JSON record per change (schema,
-operation, days touched), which is both the history and the current schema.
+operation, days rewritten), which is both the history and the current schema.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -133,16 +133,14 @@ class LakeTable:
 
     def append(self, rows: DataFrame) -> None:
         """Add rows in one pass: a null in a required field stops the load, and nothing is added."""
-        rows, written = self._conformed(rows), Observation()
-        guarded = rows.withColumns({c: _required(c) for c in self._required()})
-        placed = with_day(guarded, self.ts, CREATED_DAY).observe(written, F.collect_set(CREATED_DAY).alias("days"))
+        guarded = self._conformed(rows).withColumns({c: _required(c) for c in self._required()})
         try:
-            self._write(placed, "append")
+            self._write(with_day(guarded, self.ts, CREATED_DAY), "append")
         except PySparkException as error:
             if NULL_REQUIRED in str(error):
                 raise ConstraintError(f"a required field of {self._required()} is null") from error
             raise
-        self._commit("append", len(written.get["days"]))
+        self._commit("append", 0)
 
     def upsert(self, rows: DataFrame) -> None:
         """Replace rows with the same key, insert the others. Rows equal to the stored ones change
@@ -158,18 +156,20 @@ class LakeTable:
         changed = cut_lineage(rows.alias("n").join(nearby.alias("o"), reduce(Column.__and__, same), "left_anti"))
         replaced = nearby.select(*keys, CREATED_DAY).join(changed.select(*keys), keys, "left_semi")
         arriving = with_day(changed, self.ts, CREATED_DAY)
-        days = self._days(replaced.select(CREATED_DAY).unionByName(arriving.select(CREATED_DAY)))
+        left, entered = self._days(replaced.select(CREATED_DAY)), self._days(arriving.select(CREATED_DAY))
+        days = sorted({*left, *entered})
         kept = stored.filter(F.col(CREATED_DAY).isin(days)).join(changed.select(*keys), keys, "left_anti")
-        self._rewrite(days, kept.select(*rows.columns).unionByName(changed), "upsert")
+        self._rewrite(days, kept.select(*rows.columns).unionByName(changed), "upsert", set(left) - set(entered))
 
     def overwrite(self, rows: DataFrame, where: Column | str) -> None:
         """Delete the rows matching ``where`` and add ``rows``."""
         rows = self._checked(rows)
         stored, match = self._stored(), self._match(where)
-        new_days = with_day(rows, self.ts, CREATED_DAY).select(CREATED_DAY)
-        days = self._days(stored.filter(match).select(CREATED_DAY).unionByName(new_days))
+        left = self._days(stored.filter(match).select(CREATED_DAY))
+        entered = self._days(with_day(rows, self.ts, CREATED_DAY).select(CREATED_DAY))
+        days = sorted({*left, *entered})
         kept = stored.filter(F.col(CREATED_DAY).isin(days) & ~match).select(*rows.columns)
-        self._rewrite(days, kept.unionByName(rows), "overwrite")
+        self._rewrite(days, kept.unionByName(rows), "overwrite", set(left) - set(entered))
 
     def update(self, where: Column | str, values: Mapping[str, Column]) -> None:
         """Set columns of the rows matching ``where``. Keys and the day's timestamp stay as they are."""
@@ -187,7 +187,7 @@ class LakeTable:
         stored, match = self._stored(), self._match(where)
         days = self._days(stored.filter(match).select(CREATED_DAY))
         kept = stored.filter(F.col(CREATED_DAY).isin(days) & ~match)
-        self._rewrite(days, kept.drop(CREATED_DAY), "delete")
+        self._rewrite(days, kept.drop(CREATED_DAY), "delete", days)
 
     def add_column(self, name: str, type_: str) -> None:
         """Add a nullable column; no file is touched. A name used before gets fresh storage, so the
@@ -243,13 +243,19 @@ class LakeTable:
         """Distinct days; bounded by the calendar, not by the rows."""
         return [row[0] for row in days.distinct().collect()]
 
-    def _rewrite(self, days: Sequence[dt.date], rows: DataFrame, operation: str) -> None:
-        """Make ``rows`` the whole content of ``days``; days left without rows are removed."""
+    def _rewrite(
+        self, days: Sequence[dt.date], rows: DataFrame, operation: str, shrinking: Collection[dt.date] = ()
+    ) -> None:
+        """Make ``rows`` the whole content of ``days``. Days of ``shrinking`` may have lost all their rows;
+        an overwrite writes nothing there, so they are looked up first and removed afterwards."""
         if days:
-            written = Observation()
             placed = with_day(rows, self.ts, CREATED_DAY)
-            self._write(placed.observe(written, F.collect_set(CREATED_DAY).alias("days")), "overwrite")
-            for day in set(days) - set(written.get["days"]):
+            emptied = set()
+            if shrinking:
+                left = placed.select(CREATED_DAY).filter(F.col(CREATED_DAY).isin(list(shrinking)))
+                emptied = set(shrinking) - set(self._days(left))
+            self._write(placed, "overwrite")
+            for day in emptied:
                 self._remove_day(day)
         self._commit(operation, len(days))
 

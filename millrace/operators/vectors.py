@@ -156,7 +156,7 @@ def nearest_for_each(
     few = queries.limit(max_local + 1).collect()
     local = len(few) <= max_local
     if local:
-        known = [row for row in few if None not in row]
+        known = [row for row in few if row[0] is not None and row[1] is not None]
         found = _local_candidates([r[0] for r in known], [r[1] for r in known], base, k, digits, schema)
     else:
         found = _block_candidates(queries, base, k, digits, schema, max_local)

@@ -108,7 +108,7 @@ def lake_partitions(spark, folder):
 
 
 @query("""SELECT CAST(0 AS BIGINT) AS version, 'create' AS operation, CAST(0 AS BIGINT) AS days
-    UNION ALL SELECT 1, 'append', count(DISTINCT CAST(ts AS DATE)) FROM events
+    UNION ALL SELECT 1, 'append', 0
     UNION ALL SELECT 2, 'delete', count(DISTINCT CAST(ts AS DATE)) FROM events WHERE event_type = 'error'""")
 def lake_history(spark, folder):
     lake = loaded(spark, folder)
