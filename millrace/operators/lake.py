@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-from collections.abc import Collection, Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException, PySparkException
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.schemas import CREATED_DAY
-from millrace.session import cut_lineage
+from millrace.session import remove_folder, steps
 from millrace.sinks.tables import with_day
 
 LOG = "version bigint, operation string, committed_at timestamp, days bigint, table_schema string"
@@ -145,31 +145,34 @@ class LakeTable:
     def upsert(self, rows: DataFrame) -> None:
         """Replace rows with the same key, insert the others. Rows equal to the stored ones change
         nothing, so running the same upsert again rewrites no day."""
-        rows = self._checked(rows)
-        stored, keys = self._stored(), list(self.keys)
-        # Only keys and day of the whole table are read to find the days that matter; whole rows are
-        # read from those days alone.
-        found = stored.select(*keys, CREATED_DAY).join(rows.select(*keys), keys, "left_semi")
-        nearby = stored.filter(F.col(CREATED_DAY).isin(self._days(found.select(CREATED_DAY))))
-        same = [F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}")) for c in rows.columns if c not in keys]
-        same += [F.col(f"n.{k}") == F.col(f"o.{k}") for k in keys]
-        changed = cut_lineage(rows.alias("n").join(nearby.alias("o"), reduce(Column.__and__, same), "left_anti"))
-        replaced = nearby.select(*keys, CREATED_DAY).join(changed.select(*keys), keys, "left_semi")
-        arriving = with_day(changed, self.ts, CREATED_DAY)
-        left, entered = self._days(replaced.select(CREATED_DAY)), self._days(arriving.select(CREATED_DAY))
-        days = sorted({*left, *entered})
-        kept = stored.filter(F.col(CREATED_DAY).isin(days)).join(changed.select(*keys), keys, "left_anti")
-        self._rewrite(days, kept.select(*rows.columns).unionByName(changed), "upsert", set(left) - set(entered))
+        with steps(self.spark) as keep:
+            rows = self._checked(rows, keep)
+            stored, keys = self._stored(), list(self.keys)
+            # Only keys and day of the whole table are read to find the days that matter; whole rows
+            # are read from those days alone.
+            found = stored.select(*keys, CREATED_DAY).join(rows.select(*keys), keys, "left_semi")
+            nearby = stored.filter(F.col(CREATED_DAY).isin(self._days(found.select(CREATED_DAY))))
+            same = [F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}")) for c in rows.columns if c not in keys]
+            same += [F.col(f"n.{k}") == F.col(f"o.{k}") for k in keys]
+            changed = keep(rows.alias("n").join(nearby.alias("o"), reduce(Column.__and__, same), "left_anti"))
+            replaced = nearby.select(*keys, CREATED_DAY).join(changed.select(*keys), keys, "left_semi")
+            left = self._days(replaced.select(CREATED_DAY))
+            entered = self._days(with_day(changed, self.ts, CREATED_DAY).select(CREATED_DAY))
+            days = sorted({*left, *entered})
+            kept = stored.filter(F.col(CREATED_DAY).isin(days)).join(changed.select(*keys), keys, "left_anti")
+            final = kept.select(*rows.columns).unionByName(changed)
+            self._rewrite(days, final, "upsert", set(left) - set(entered))
 
     def overwrite(self, rows: DataFrame, where: Column | str) -> None:
         """Delete the rows matching ``where`` and add ``rows``."""
-        rows = self._checked(rows)
-        stored, match = self._stored(), self._match(where)
-        left = self._days(stored.filter(match).select(CREATED_DAY))
-        entered = self._days(with_day(rows, self.ts, CREATED_DAY).select(CREATED_DAY))
-        days = sorted({*left, *entered})
-        kept = stored.filter(F.col(CREATED_DAY).isin(days) & ~match).select(*rows.columns)
-        self._rewrite(days, kept.unionByName(rows), "overwrite", set(left) - set(entered))
+        with steps(self.spark) as keep:
+            rows = self._checked(rows, keep)
+            stored, match = self._stored(), self._match(where)
+            left = self._days(stored.filter(match).select(CREATED_DAY))
+            entered = self._days(with_day(rows, self.ts, CREATED_DAY).select(CREATED_DAY))
+            days = sorted({*left, *entered})
+            kept = stored.filter(F.col(CREATED_DAY).isin(days) & ~match).select(*rows.columns)
+            self._rewrite(days, kept.unionByName(rows), "overwrite", set(left) - set(entered))
 
     def update(self, where: Column | str, values: Mapping[str, Column]) -> None:
         """Set columns of the rows matching ``where``. Keys and the day's timestamp stay as they are."""
@@ -224,9 +227,9 @@ class LakeTable:
             ]
         )
 
-    def _checked(self, rows: DataFrame) -> DataFrame:
-        """Conformed rows, written down once; raises unless required fields are filled and keys unique."""
-        rows, required = cut_lineage(self._conformed(rows)), self._required()
+    def _checked(self, rows: DataFrame, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """Conformed rows, kept as a step; raises unless required fields are filled and keys unique."""
+        rows, required = keep(self._conformed(rows)), self._required()
         per_key = rows.groupBy(*self.keys).agg(
             F.count(F.lit(1)).alias("_n"), *[F.count_if(F.col(c).isNull()).alias(f"_{c}") for c in required]
         )
@@ -256,13 +259,9 @@ class LakeTable:
                 emptied = set(shrinking) - set(self._days(left))
             self._write(placed, "overwrite")
             for day in emptied:
-                self._remove_day(day)
+                remove_folder(self.spark, f"{self.data}/{CREATED_DAY}={day}")
         self._commit(operation, len(days))
 
-    def _remove_day(self, day: dt.date) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.data}/{CREATED_DAY}={day}")
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
-
     def _write(self, rows: DataFrame, mode: str) -> None:
         stored_names = {f.name: f.metadata[STORED] for f in self.schema.fields if STORED in f.metadata}
         (

@@ -222,12 +222,16 @@ def approximate_nearest(
     df: DataFrame,
     vector: Sequence[float],
     k: int = 3,
+    id_column: str = "vec_id",
     column: str = "embedding",
     bucket_length: float = 2.0,
     tables: int = 4,
     seed: int = 7,
 ) -> DataFrame:
-    """Approximate form of ``nearest_to``: only rows sharing a hash bucket with the query are ranked."""
+    """Approximate form of ``nearest_to``: only rows sharing a hash bucket with the query are ranked.
+
+    Should the buckets hold fewer than ``k`` rows, the exact search answers instead.
+    """
     from pyspark.ml.feature import BucketedRandomProjectionLSH
     from pyspark.ml.functions import array_to_vector
     from pyspark.ml.linalg import Vectors
@@ -237,7 +241,8 @@ def approximate_nearest(
         inputCol="_features", outputCol="_hashes", bucketLength=bucket_length, numHashTables=tables, seed=seed
     )
     near = lsh.fit(hashed).approxNearestNeighbors(hashed, Vectors.dense(list(vector)), k, distCol="distance")
-    return near.drop("_features", "_hashes")
+    near = near.drop("_features", "_hashes")
+    return near if near.count() == k else nearest_to(df, vector, k, id_column, column)
 
 
 def similarity_rows(

@@ -6,6 +6,8 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 
+from millrace.sinks.tables import load_table
+
 MODELS: dict[str, Callable[[Project], DataFrame]] = {}
 
 
@@ -31,13 +33,14 @@ class Project:
             self._built[name] = MODELS[name](self)
         return self._built[name]
 
-    def materialise(self, name: str, kind: str = "view", layer: str = "default") -> DataFrame:
-        """Publish a model as a view, or as a table of its layer's database."""
+    def materialise(self, name: str, kind: str = "view", layer: str = "default", path: str | None = None) -> DataFrame:
+        """Publish a model as a view, or as a table of its layer's database (stored at ``path`` if given)."""
         df = self.ref(name)
         spark = df.sparkSession
         if kind == "view":
             df.createOrReplaceTempView(name)
             return spark.table(name)
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
-        df.write.mode("overwrite").format("parquet").saveAsTable(f"{layer}.{name}")
+        place = f" LOCATION '{path}.db'" if path else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`{place}")
+        load_table(df, f"{layer}.{name}", path)
         return spark.table(f"{layer}.{name}")

@@ -224,12 +224,13 @@ def limit_rows(spark, folder):
 
 
 @query("""SELECT l_orderkey, l_partkey, l_quantity FROM lineitem WHERE l_quantity > 49
-    EXCEPT SELECT l_orderkey, l_partkey, l_quantity FROM lineitem WHERE l_returnflag = 'N' ORDER BY l_quantity""")
+    EXCEPT SELECT l_orderkey, l_partkey, l_quantity FROM lineitem WHERE l_returnflag = 'N' ORDER BY 3, 1, 2""")
 def ordered_except(spark, folder):
     lines = table(spark, folder, "lineitem")
     columns = ["l_orderkey", "l_partkey", "l_quantity"]
     large = lines.filter("l_quantity > 49").select(*columns)
-    return sets.except_rows(large, lines.filter("l_returnflag = 'N'").select(*columns)).orderBy("l_quantity")
+    rest = sets.except_rows(large, lines.filter("l_returnflag = 'N'").select(*columns))
+    return rest.orderBy("l_quantity", "l_orderkey", "l_partkey")  # a full order spreads equal quantities
 
 
 # -- set operations -----------------------------------------------------------------------------

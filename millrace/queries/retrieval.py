@@ -58,7 +58,7 @@ def batch_topk(spark, folder):
      FROM embeddings, means m) GROUP BY 1""")
 def similarity_rows(spark, folder):
     """Similarity of every row to each label's mean, reduced to the best one."""
-    means = sorted(_label_means(spark, folder).collect(), key=lambda row: row["label"])
+    means = sorted(_label_means(spark, folder).limit(R.MAX_LOCAL_QUERIES + 1).collect(), key=lambda row: row["label"])
     rows = R.similarity_rows(table(spark, folder, "embeddings"), [row["embedding"] for row in means])
     rounded = rows.withColumn("similarities", F.transform("similarities", lambda s: F.round(s, 6)))
     best = F.array_max("similarities")

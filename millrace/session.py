@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from itertools import count
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,6 +72,28 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of whatever file system its path names."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def steps(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """``cut_lineage`` for the steps of one job; what they wrote is removed when the job is over."""
+    folder, numbers = scratch(spark, "steps"), count()
+
+    def keep(df: DataFrame) -> DataFrame:
+        path = f"{folder}/{next(numbers)}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    try:
+        yield keep
+    finally:
+        remove_folder(spark, folder)
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """A bare file scan, dealt out to all cores when it has fewer splits than there are cores.
 

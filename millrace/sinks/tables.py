@@ -42,9 +42,10 @@ def write_avro(df: DataFrame, path: str, avro_schema: str | None = None) -> None
     (writer.option("avroSchema", avro_schema) if avro_schema else writer).save(path)
 
 
-def load_table(df: DataFrame, table: str) -> None:
-    """Truncate and load a whole table."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(table)
+def load_table(df: DataFrame, table: str, path: str | None = None) -> None:
+    """Truncate and load a whole table, kept at ``path`` or in the warehouse folder."""
+    writer = df.write.mode("overwrite").format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -114,11 +115,11 @@ def audited(load: Callable[[], None], read_back: Callable[[], DataFrame], table:
     return audit(read_back(), table).withColumn("seconds", F.lit(seconds))
 
 
-def load_seed(spark: SparkSession, path: str, schema: str, table: str) -> None:
+def load_seed(spark: SparkSession, path: str, schema: str, table: str, location: str | None = None) -> None:
     """A typed CSV seed into a table."""
     from millrace.sources.files import read_csv_typed
 
-    load_table(read_csv_typed(spark, path, schema), table)
+    load_table(read_csv_typed(spark, path, schema), table, location)
 
 
 def first_that_works(primary: Callable[[], DataFrame], fallback: Callable[[], DataFrame], path: str) -> str:

@@ -118,9 +118,12 @@ def find(
     fields: Sequence[str] = (),
     sort: Sequence[tuple[str, bool]] = (),
 ) -> DataFrame:
-    """Documents equal to a query on (dotted) fields, projected, ordered by (field, ascending) pairs."""
+    """Documents equal to a query on (dotted) fields, projected, ordered by (field, ascending) pairs.
+
+    Asking for ``None`` finds documents where the field is null or absent.
+    """
     for name, wanted in (equal or {}).items():
-        collection = collection.filter(F.col(name) == F.lit(wanted))
+        collection = collection.filter(F.col(name).eqNullSafe(F.lit(wanted)))
     if sort:
         collection = collection.orderBy(*[F.col(n).asc() if up else F.col(n).desc() for n, up in sort])
     return collection.select(*fields) if fields else collection

@@ -42,6 +42,10 @@ def as_json(rows: DataFrame) -> DataFrame:
     return rows.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
 
 
-def text_folder(spark: SparkSession, path: str) -> DataFrame:
-    """New files of a folder as lines of text, column ``value``; stands in for a topic."""
-    return spark.readStream.text(path)
+def text_folder(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+    """New files of a folder as lines of text, column ``value``; stands in for a topic.
+
+    ``files_per_batch`` cuts a long backlog into batches of bounded size.
+    """
+    reader = spark.readStream
+    return (reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader).text(path)

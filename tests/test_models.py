@@ -171,3 +171,7 @@ def test_movements_double_for_a_company_listed_twice(spark):
     once = join_companies(rail.ref("stg_movements"), rail.ref("stg_operating_companies"), dedupe_reference=True)
     assert once.count() == 5
     assert fact.filter(F.col("toc_id") == "x").count() == 1
+
+
+def test_literal_relation(spark):
+    assert rows(spark.sql("SELECT 'hello' AS greeting")) == [("hello",)]
