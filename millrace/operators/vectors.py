@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import sys
 from collections.abc import Callable, Iterator, Sequence
 from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +27,9 @@ CHUNK_CELLS = 2_000_000  # numbers held at once while distances are computed
 
 Embedder = Callable[[Sequence[str]], np.ndarray]
 
+# The helpers below travel inside the tasks, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 # -- embedding ----------------------------------------------------------------------------------
 

@@ -1,5 +1,9 @@
+import subprocess
+import sys
+
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from millrace.operators import vectors as R
@@ -115,3 +119,12 @@ def test_retrieval_prompt(spark):
     contexts = R.retrieval_context(matches, docs, "doc_id", "text")
     text = R.prompt(contexts, asked, "item_id", "text").first()["prompt"]
     assert text == "\nContext:\ncourse on data pipelines / data pipelines with care\n\nQuestion:\ndata pipelines\n"
+
+
+def test_helpers_need_no_package_on_the_executors(tmp_path):
+    script = "import pickle, sys; f = pickle.load(sys.stdin.buffer); print(f.__name__, 'millrace' in sys.modules)"
+    for helper in (R._scan_batch, R._candidates, R.hashed_words()):
+        done = subprocess.run(
+            [sys.executable, "-c", script], input=cloudpickle.dumps(helper), cwd=tmp_path, capture_output=True, check=True
+        )
+        assert done.stdout.split() == [helper.__name__.encode(), b"False"]
