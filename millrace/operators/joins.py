@@ -6,14 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def left_join_lines(left: DataFrame, lines: DataFrame, key: str) -> DataFrame:
+def left_join_lines(left: DataFrame, lines: DataFrame, key: str, null_keys: bool = True) -> DataFrame:
     """Left join to a side that may hold very many rows of one key.
 
-    Under a left join Spark can split a hot key on the left only. So the matches come from an inner
-    join, where either side can be split, and the left rows without a match from an anti join against
-    the distinct keys, which combine before they move. Both use the same shuffle of ``left``.
+    Under a left join Spark can split a hot key on the left only. So every left key without lines gets
+    one empty line first, and the join itself is an inner one, where either side can be split. Finding
+    those keys reads the key columns alone, and keys combine inside each task before they move.
+    ``null_keys=False`` promises that no left key is null, which lets the join reuse a partitioning.
     """
-    matched = left.join(lines, key)
-    alone = left.join(lines.select(key).distinct(), key, "left_anti")
+    known = lines.filter(F.col(key).isNotNull())
+    missing = left.select(key).distinct().join(known.select(key).distinct(), key, "left_anti")
     empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in lines.schema.fields if f.name != key]
-    return matched.unionByName(alone.select("*", *empty))
+    filled = known.unionByName(missing.select(key, *empty)).withColumnRenamed(key, "_line_key")
+    same = left[key].eqNullSafe(filled["_line_key"]) if null_keys else left[key] == filled["_line_key"]
+    return left.join(filled, same).drop("_line_key")

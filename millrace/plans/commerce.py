@@ -214,7 +214,7 @@ def checkouts_by_product(project: Project) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("lines"))
     )
     return (
-        left_join_lines(events, lines, "order_guid")
+        left_join_lines(events, lines, "order_guid", null_keys=False)
         .groupBy("product_guid", "product_name")
         .agg(F.sum(F.col("checkouts") * F.coalesce("lines", F.lit(1))).alias("checkout_count"))
     )

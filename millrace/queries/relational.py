@@ -104,7 +104,7 @@ def join_events_order_lines(spark, folder):
     shop = project(spark, folder)
     events = shop.source("events").filter(F.col("order_id").isNotNull()).select("event_id", "order_id")
     lines = shop.source("order_items").select("order_id", "product_id")
-    return left_join_lines(events, lines, "order_id").select("event_id", "order_id", "product_id")
+    return left_join_lines(events, lines, "order_id", null_keys=False).select("event_id", "order_id", "product_id")
 
 
 @query("""SELECT l.l_orderkey, l.l_partkey, l.l_suppkey, l.l_linenumber, r.returned_quantity

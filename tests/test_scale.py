@@ -60,6 +60,14 @@ def test_hot_order_is_split_in_the_line_join(spark, hot_lines, small_thresholds)
     assert joined.exceptAll(expected).isEmpty() and expected.exceptAll(joined).isEmpty()
 
 
+def test_line_join_keeps_null_and_repeated_left_keys(spark):
+    left = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (2, "c"), (None, "d"), (None, "e")], "k int, v string")
+    lines = spark.createDataFrame([(1, 10), (1, 10), (None, 20), (3, 30)], "k int, n int")
+    joined, expected = joins.left_join_lines(left, lines, "k"), left.join(lines, "k", "left")
+    assert joined.columns == expected.columns
+    assert sorted(map(tuple, joined.collect()), key=repr) == sorted(map(tuple, expected.collect()), key=repr)
+
+
 def test_hot_left_key_is_split_in_left_and_anti_joins(spark, hot_lines, small_thresholds):
     names = spark.range(500).select(F.col("id").alias("order_guid"), F.lit("n").alias("name"))
     joined = hot_lines.join(names, "order_guid", "left")
