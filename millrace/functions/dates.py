@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 LONDON = "Europe/London"
 
 
+def moment(value: dt.datetime) -> Column:
+    """A zone-free timestamp literal: the clock time as written, whatever the driver's time zone."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def day_bounds(day: dt.date | str) -> tuple[dt.datetime, dt.datetime]:
     """Start of a day and of the next one."""
     day = dt.date.fromisoformat(day) if isinstance(day, str) else day
@@ -24,7 +29,7 @@ def month_bounds(year: int, month: int) -> tuple[dt.datetime, dt.datetime]:
 
 def in_range(ts: Column, bounds: tuple[dt.datetime, dt.datetime]) -> Column:
     """Half-open range test on the bare column, so that it reaches file statistics."""
-    return (ts >= F.lit(bounds[0]).cast("timestamp_ntz")) & (ts < F.lit(bounds[1]).cast("timestamp_ntz"))
+    return (ts >= moment(bounds[0])) & (ts < moment(bounds[1]))
 
 
 def slash_date(date: Column) -> Column:

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions.dates import moment
 from millrace.schemas import CREATED_DAY
 from millrace.session import remove_folder, steps
 from millrace.sinks.tables import with_day
@@ -100,8 +101,8 @@ class LakeTable:
         rows = self._stored().filter(
             (F.col(CREATED_DAY) >= F.lit(start.date()))
             & (F.col(CREATED_DAY) <= F.lit(end.date()))
-            & (F.col(self.ts) >= F.lit(start).cast("timestamp_ntz"))
-            & (F.col(self.ts) < F.lit(end).cast("timestamp_ntz"))
+            & (F.col(self.ts) >= moment(start))
+            & (F.col(self.ts) < moment(end))
         )
         return rows.drop(CREATED_DAY).select(*(columns or self.schema.names))
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions.dates import moment
 from millrace.functions.text import contains_ignoring_case
 
 PHONE_LENGTH = 12
@@ -213,4 +214,4 @@ def expect_rows(model: DataFrame, expected: DataFrame) -> None:
 
 def run_time(now: dt.datetime) -> Column:
     """A fixed run time, for repeatable checks."""
-    return F.lit(now).cast("timestamp_ntz")
+    return moment(now)

@@ -4,6 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from millrace.functions.dates import moment
 from millrace.operators import governance as G
 from millrace.plans.bindings import project, table
 from millrace.queries.registry import query
@@ -65,7 +66,7 @@ def classified_catalogue(spark, folder):
 
 def _event_schema(spark, folder, late):
     """Models and columns as found in the event messages of one half of the month."""
-    cut = F.lit(HALF).cast("timestamp_ntz")
+    cut = moment(HALF)
     side = F.col("ts") >= cut if late else F.col("ts") < cut
     found = table(spark, folder, "events").filter(side)
     return found.select(
@@ -100,7 +101,7 @@ def drifted_columns(spark, folder):
 
 def _order_checks(spark, folder, late):
     """Accepted-value checks as each half of the order history would declare them."""
-    cut = F.lit(dt.datetime(1998, 6, 1)).cast("timestamp_ntz")
+    cut = moment(dt.datetime(1998, 6, 1))
     side = F.col("o_orderdate") >= cut if late else F.col("o_orderdate") < cut
     test = F.concat(F.lit("accepted_value:"), F.date_format("o_orderdate", "MM-dd"), F.lit(" "), "o_orderpriority")
     return table(spark, folder, "orders").filter(side).select(

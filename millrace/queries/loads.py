@@ -4,6 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from millrace.functions.dates import moment
 from millrace.plans.bindings import project, table
 from millrace.queries.registry import query
 from millrace.queries.roles import with_roles
@@ -26,7 +27,7 @@ def date_slice(spark, folder):
     WHERE o_orderdate < TIMESTAMP '2000-01-01')""")
 def high_water_incremental(spark, folder):
     orders = table(spark, folder, "orders")
-    loaded = orders.filter(F.col("o_orderdate") < F.lit(dt.datetime(2000, 1, 1)).cast("timestamp_ntz"))
+    loaded = orders.filter(F.col("o_orderdate") < moment(dt.datetime(2000, 1, 1)))
     return jdbc.increment(orders, loaded, "o_orderdate")
 
 

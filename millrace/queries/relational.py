@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from millrace.functions.dates import in_range, month_bounds
+from millrace.functions.dates import in_range, moment, month_bounds
 from millrace.functions.text import is_email, ratio
 from millrace.operators import project as P
 from millrace.operators import quality, sets
@@ -239,7 +239,7 @@ def ordered_except(spark, folder):
 @query("""SELECT o_custkey, o_orderstatus FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01'
     EXCEPT SELECT o_custkey, o_orderstatus FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'""")
 def except_delta(spark, folder):
-    orders, cut = table(spark, folder, "orders"), F.lit(dt.datetime(1999, 1, 1)).cast("timestamp_ntz")
+    orders, cut = table(spark, folder, "orders"), moment(dt.datetime(1999, 1, 1))
     source = orders.filter(F.col("o_orderdate") >= cut).select("o_custkey", "o_orderstatus")
     loaded = orders.filter(F.col("o_orderdate") < cut).select("o_custkey", "o_orderstatus")
     return sets.except_rows(source, loaded)
@@ -258,7 +258,7 @@ def union_all(spark, folder):
     SELECT o_custkey, 'removed' AS status FROM b WHERE o_custkey NOT IN (SELECT o_custkey FROM a)
     UNION ALL SELECT o_custkey, 'added' FROM a WHERE o_custkey NOT IN (SELECT o_custkey FROM b)""")
 def two_way_diff(spark, folder):
-    orders, cut = table(spark, folder, "orders"), F.lit(dt.datetime(1998, 1, 1)).cast("timestamp_ntz")
+    orders, cut = table(spark, folder, "orders"), moment(dt.datetime(1998, 1, 1))
     before, after = orders.filter(F.col("o_orderdate") < cut), orders.filter(F.col("o_orderdate") >= cut)
     return sets.two_way_difference(before, after, ["o_custkey"])
 

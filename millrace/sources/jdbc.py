@@ -7,8 +7,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from millrace.functions.dates import day_bounds, in_range
+from millrace.functions.dates import day_bounds, in_range, moment
 
 
 @dataclass(frozen=True)
@@ -65,7 +66,10 @@ def newer_than(table: DataFrame, ts: str, mark: dt.datetime | Column | None) ->
     """Rows strictly after the mark; everything when nothing was loaded yet."""
     if mark is None:
         return table
-    return table.filter(F.col(ts) > (mark if isinstance(mark, Column) else F.lit(mark)))
+    if not isinstance(mark, Column):
+        zone_free = isinstance(table.schema[ts].dataType, T.TimestampNTZType)
+        mark = moment(mark) if zone_free else F.lit(mark)
+    return table.filter(F.col(ts) > mark)
 
 
 def increment(table: DataFrame, loaded: DataFrame, ts: str) -> DataFrame:

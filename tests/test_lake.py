@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions.dates import moment
 from millrace.operators import history as H
 from millrace.operators.lake import ConstraintError, LakeTable
 from millrace.session import scratch
@@ -55,7 +56,7 @@ def test_scan_between_prunes_days(sales):
 
 def test_update_then_delete(sales):
     now = dt.datetime(2025, 7, 1)
-    sales.update(F.col("id") == 4, {"updated_at": F.lit(now).cast("timestamp_ntz")})
+    sales.update(F.col("id") == 4, {"updated_at": moment(now)})
     sales.delete("id = 1")
     left = {r["id"]: r["updated_at"] for r in sales.scan().collect()}
     assert left == {2: None, 3: None, 4: now, 5: None}
