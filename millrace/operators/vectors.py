@@ -85,11 +85,14 @@ def nearest_to(
 ) -> DataFrame:
     """The ``k`` rows nearest to one vector by Euclidean distance, ascending, ties by id.
 
-    All native: every task keeps its own best ``k`` rows and only those move.
+    All native: every task keeps its own best ``k`` rows and only those move. Rows without a comparable
+    vector are left out; the null test comes after the limit, as before it the distance would be
+    computed a second time to decide the filter.
     """
     wanted = F.array(*[F.lit(float(x)) for x in vector])
-    scored = df.withColumn("distance", V.euclidean_distance(F.col(column), wanted))
-    return scored.filter(F.col("distance").isNotNull()).orderBy("distance", id_column).limit(k)
+    sized = df.filter(F.size(column) == len(vector))
+    scored = sized.withColumn("distance", V.euclidean_distance(F.col(column), wanted))
+    return scored.orderBy(F.asc_nulls_last("distance"), id_column).limit(k).filter(F.col("distance").isNotNull())
 
 
 def _keep_best(ids, gaps, best, k):
