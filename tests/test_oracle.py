@@ -4,9 +4,9 @@ import pytest
 from compare import connect, differences
 
 import __spark_entry__ as entry_point
+from millrace.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
 
 
 @pytest.fixture(scope="module")
