@@ -12,8 +12,11 @@ which documents of one region can be close to those of another:
    linked to it and need no comparing with each other. A document further than 2r from it can have no link into
    the ball. One between r and 2r (the ring) is compared with those members of the ball that the triangle
    inequality leaves.
-3. Documents outside all balls of their region go on to the next round with new pivots, in large regions several
-   at once; small regions end with a direct join.
+3. Documents outside the ball go on to the next round: small regions end with a direct join, large ones become one
+   region per pivot document, get several new pivots, and what those leave over is joined directly.
+
+The pivot of a region is its most typical member, the one with the smallest share of rare shingles, so the original
+of many edited copies comes before the copies.
 
 Distances are bounded below by parity sketches (bit h mod B flips for every shingle hash h; two sketches differ
 in at most as many bits as the sets differ in shingles) and computed exactly where the bound allows a link.
@@ -29,7 +32,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import Workspace, fresh, ship
@@ -37,16 +40,18 @@ from millrace.llm.components import connected_components
 from millrace.llm.shingles import mix, shingle_sets
 
 SIMILARITY = Fraction(3, 4)
-COUNTED_AT_ONCE = 1 << 22  # shingles whose repeats are counted together inside a task
-REPEATS = 4  # a shingle is reported as frequent when that many of them have it
+COUNTED_AT_ONCE = 1 << 21  # shingles whose repeats are counted together inside a task
+REPEATS = 3  # a shingle is reported as frequent when that many of them have it
 FREQUENT = 1 << 16  # frequent shingles that are ordered by their count; the order never changes the result
+BROADCAST_KEYS = 200_000  # documents, of 16 bytes each, that are looked up without a shuffle
 SALTS = 64  # parts of a frequent shingle's region while its pivot is found
 SMALL_REGION = 32  # documents that are joined directly
-GROWTH = 8  # times as many pivots in each further round of a large region
+ROUNDS = 1  # further rounds of large regions
+PIVOTS = 8  # of a large region in a further round, on average
 
 ship(__name__)
 
-_DESCRIBED = "doc_id long, text_key long, n long, c long, sketch binary, g long, df long"
+_DESCRIBED = "doc_id long, text_key long, n long, c long, sketch array<long>, g long, df long"
 
 
 def _class_of(found: np.ndarray) -> np.int64:
@@ -56,21 +61,26 @@ def _class_of(found: np.ndarray) -> np.int64:
     return mix(mix(parts) * np.array([3, 5], np.uint64)).sum(dtype=np.uint64, keepdims=True).view(np.int64)[0]
 
 
-def _sketch(found: np.ndarray) -> bytes:
-    """Parity bits of the hashes modulo a power of two from 2n to 4n, at least 64."""
+def _sketch(found: np.ndarray) -> np.ndarray:
+    """Parity bits of the hashes modulo a power of two from 2n to 4n, at least 64, as longs."""
     bits = max(64, 1 << int(2 * len(found) - 1).bit_length())
     odd = np.bincount((found & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
-    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def _differing(a: str, b: str) -> Column:
+    """Bits in which two sketches differ; one of sets up to twice as large is folded to the other's length."""
 
+    def folded(sketch: str) -> Column:
+        half = (F.size(sketch) / 2).cast("int")
+        return F.zip_with(F.slice(sketch, 1, half), F.slice(sketch, half + 1, half), lambda x, y: x.bitwiseXOR(y))
 
-def _differing(a: bytes, b: bytes) -> int:
-    """Bits in which two sketches differ, the longer one folded to the shorter one's length."""
-    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
-    while len(x) > len(y):
-        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
-    while len(y) > len(x):
-        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
-    return int(np.bitwise_count(x ^ y).sum())
+    def bits(x: Column, y: Column) -> Column:
+        counts = F.zip_with(x, y, lambda one, other: F.bit_count(one.bitwiseXOR(other)))
+        return F.aggregate(counts, F.lit(0), lambda total, one: total + F.coalesce(one, F.lit(0)))
+
+    longer, shorter = F.size(a) > F.size(b), F.size(a) < F.size(b)
+    return F.when(longer, bits(folded(a), F.col(b))).when(shorter, bits(F.col(a), folded(b))).otherwise(bits(F.col(a), F.col(b)))
 
 
 def _source(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -86,7 +96,7 @@ def _describe(source: DataFrame) -> DataFrame:
         values, times = np.unique(np.concatenate(parts), return_counts=True)
         often = times >= REPEATS
         size, none = int(often.sum()), pa.nulls(int(often.sum()), pa.int64())
-        columns = [none] * 4 + [pa.nulls(size, pa.binary()), pa.array(values[often].view(np.int64)), pa.array(times[often])]
+        columns = [none] * 4 + [pa.nulls(size, pa.list_(pa.int64())), pa.array(values[often].view(np.int64)), pa.array(times[often])]
         return pa.RecordBatch.from_arrays(columns, names)
 
     names = ["doc_id", "text_key", "n", "c", "sketch", "g", "df"]
@@ -109,7 +119,7 @@ def _describe(source: DataFrame) -> DataFrame:
                         yield frequent(parts)
                         parts, held = [], 0
             none = pa.nulls(batch.num_rows, pa.int64())
-            described = [pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()), pa.array(sketches, pa.binary())]
+            described = [pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()), pa.array(sketches, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_key"), *described, none, none], names
             )
@@ -120,7 +130,9 @@ def _describe(source: DataFrame) -> DataFrame:
 
 
 def _first_pivots(source: DataFrame, frequent: list[tuple[int, int]], similarity: Fraction) -> DataFrame:
-    """``g, s, c, n``: the regions of each class, once a task; ``s`` is a salt above 0 for frequent shingles."""
+    """``g, s, c, meta``: the regions of each class, once a task; ``s`` is a salt above 0 for frequent shingles. ``meta``
+    has the class's size, the share of its shingles that are rare, in thousandths, and how large a partner may be, in
+    thousandths of its own size: all shingles before g are missing in a document first met at g."""
     frequent = sorted((np.uint64(g & (2**64 - 1)), df) for g, df in frequent)
     known = np.array([g for g, _ in frequent], np.uint64)
     counts = np.array([df for _, df in frequent], np.int64)
@@ -128,6 +140,8 @@ def _first_pivots(source: DataFrame, frequent: list[tuple[int, int]], similarity
     hint[(known & np.uint64(len(hint) - 1)).astype(np.int64)] = True
     shared = source.sparkSession.sparkContext.broadcast((known, counts, hint))
     missing = 1 - similarity
+    # Linked sets of sizes a and b share at least part / whole * (a + b).
+    part, whole = similarity.numerator, similarity.numerator + similarity.denominator
 
     def pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, counts, hint = shared.value
@@ -149,7 +163,11 @@ def _first_pivots(source: DataFrame, frequent: list[tuple[int, int]], similarity
                 cold = found[rare][:wanted]
                 hot = found[often][np.argsort(counts[at[hit]], kind="stable")][: wanted - len(cold)]
                 salt = 1 + int(one) % SALTS
-                rows.append((np.concatenate([cold, hot]), len(hot), salt, one, len(found)))
+                size, chosen = len(found), np.concatenate([cold, hot])
+                left = size - np.arange(len(chosen))
+                partner = -(-1000 * (left * whole // part - size) // size)
+                meta = (size << 32) + ((1000 * int(rare.sum()) // size) << 16) + partner
+                rows.append((chosen, len(hot), salt, one, meta))
             if rows:
                 sizes = [len(row[0]) for row in rows]
                 salts = [np.r_[np.zeros(len(row[0]) - row[1], np.int32), np.full(row[1], row[2], np.int32)] for row in rows]
@@ -158,26 +176,32 @@ def _first_pivots(source: DataFrame, frequent: list[tuple[int, int]], similarity
                         pa.array(np.concatenate([row[0] for row in rows]).view(np.int64)),
                         pa.array(np.concatenate(salts)),
                         pa.array(np.repeat(np.array([row[3] for row in rows], np.int64), sizes)),
-                        pa.array(np.repeat(np.array([row[4] for row in rows], np.int32), sizes)),
+                        pa.array(np.concatenate([row[4] for row in rows])),
                     ],
-                    ["g", "s", "c", "n"],
+                    ["g", "s", "c", "meta"],
                 )
 
-    return source.select("text").mapInArrow(pivots, "g long, s int, c long, n int")
+    return source.select("text").mapInArrow(pivots, "g long, s int, c long, meta long")
 
 
 def _regions(first: DataFrame, work: Workspace) -> DataFrame:
-    """``g, c, n, p``: members of the regions with at least two classes, and the region's pivot document ``p``."""
+    """``g, c, n, most, p``: members of the regions with at least two classes, the largest size of a partner, and the
+    region's pivot document ``p``."""
     part = Window.partitionBy("g", "s")
-    shared = work.keep(
-        first.withColumn("p", F.min("c").over(part))
-        .withColumn("q", F.max("c").over(part))
-        .where("s > 0 or p < q")
-        .distinct()
-    )
-    pivots = shared.where("s > 0").groupBy("g").agg(F.min("p").alias("p"), F.max("q").alias("q")).where("p < q")
-    hot = shared.where("s > 0").select("g", "c", "n").join(pivots.select("g", "p"), "g")
-    return work.keep(shared.where("s = 0").select("g", "c", "n", "p").unionByName(hot))
+    n, most = F.shiftright("meta", 32), F.col("meta").bitwiseAND(F.lit(0xFFFF))
+    rare = F.shiftright("meta", 16).bitwiseAND(F.lit(0xFFFF))
+    rows = first.select("g", "s", "c", n.alias("n"), F.ceil(n * most / 1000).alias("most"), rare.alias("w"))
+    typical = F.struct("w", "c")
+    # In a region of two rows the other one's size and its largest partner are known at once.
+    others = {c: F.sum(c).over(part) - F.col(c) for c in ("n", "most")}
+    met = rows.withColumn("p", F.min(typical).over(part)).withColumn("q", F.max(typical).over(part))
+    met = met.withColumn("rows", F.count("*").over(part))
+    met = met.withColumn("fits", (others["n"] <= F.col("most")) & (F.col("n") <= others["most"]))
+    apart = (F.col("p.c") != F.col("q.c")) & ((F.col("rows") > 2) | F.col("fits"))
+    shared = work.keep(met.where((F.col("s") > 0) | apart).drop("rows", "fits", "w").distinct())
+    pivots = shared.where("s > 0").groupBy("g").agg(F.min("p").alias("p"), F.max("q").alias("q")).where("p.c != q.c")
+    hot = shared.where("s > 0").select("g", "c", "n", "most").join(pivots.select("g", F.col("p.c").alias("p")), "g")
+    return work.keep(shared.where("s = 0").select("g", "c", "n", "most", F.col("p.c").alias("p")).unionByName(hot))
 
 
 class _Distances:
@@ -204,28 +228,23 @@ class _Distances:
     def _bounded(self, pairs: DataFrame) -> DataFrame:
         left = self.classes.select(F.col("c").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
         right = self.classes.select(F.col("c").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-        reach = 2 * float(1 - self.similarity) + 1e-9
-        sized = F.least("na", "nb") >= F.greatest("na", "nb") * F.lit(1 - reach)
-        joined = pairs.select("a", "b").join(left, "a").join(right, "b").where(sized)
-
-        def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                na, nb = np.asarray(batch.column("na")), np.asarray(batch.column("nb"))
-                sketches = zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist())
-                differ = np.array([_differing(x, y) for x, y in sketches], np.int64)
-                low = np.maximum(2 * differ / (na + nb + differ), 1 - np.minimum(na, nb) / np.maximum(na, nb))
-                columns = [batch.column(k) for k in ("a", "b", "na", "nb")]
-                every = pa.RecordBatch.from_arrays([*columns, pa.array(low)], ["a", "b", "na", "nb", "low"])
-                yield every.filter(pa.array(low <= reach))
-
-        return joined.mapInArrow(bound, "a long, b long, na long, nb long, low double")
+        reach = F.lit(2 * float(1 - self.similarity) + 1e-9)
+        sized = F.least("na", "nb") >= F.greatest("na", "nb") * (1 - reach)
+        met = pairs.select("a", "b").join(left, "a").join(right, "b").where(sized)
+        met = met.withColumn("differ", _differing("sa", "sb"))
+        by_size = 1 - F.least("na", "nb") / F.greatest("na", "nb")
+        low = F.greatest(2 * F.col("differ") / (F.col("na") + F.col("nb") + F.col("differ")), by_size)
+        return met.select("a", "b", "na", "nb", low.alias("low")).where(F.col("low") <= reach)
 
     def _fetch(self, near: DataFrame) -> None:
         wanted = near.select(F.col("a").alias("c")).union(near.select("b")).distinct()
         if self.sets is not None:
             wanted = wanted.join(self.sets.select("c"), "c", "left_anti")
         wanted = self.work.keep(wanted.join(self.classes, "c").select("c", "n", *_KEY))
-        rows = self.source.select(*_key(self.source), "text").join(wanted.where("n > 0").select(*_KEY), _KEY, "left_semi")
+        keys = wanted.select(*_KEY)
+        if wanted.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:  # else texts are shuffled to their keys
+            keys = F.broadcast(keys)
+        rows = self.source.select(*_key(self.source), "text").join(keys, _KEY, "left_semi")
 
         def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -274,54 +293,66 @@ def _both_ways(pairs: DataFrame) -> DataFrame:
     return one.unionByName(other)
 
 
-def _recurse(members: DataFrame, distances: _Distances, work: Workspace) -> tuple[DataFrame, DataFrame]:
-    """Ball after ball: ``compared`` (``c, q, low, d``; q a pivot) and what is left over in small regions."""
-    pairs = distances.compare(_unordered(members.where("c != p"), "c", "p"))
-    compared = [_both_ways(pairs)]
-    links = compared[0].where("d is not null").select("c", F.col("q").alias("p"))
-    left = members.where("c != p").join(links, ["c", "p"], "left_anti").select("g", "c", "n")
-    small, pivots_each = [], GROWTH
-    while True:
-        sizes = left.groupBy("g").agg(F.count("*").alias("size"), F.min("c").alias("p"))
-        left = work.keep(left.join(sizes.where("size > 1"), "g"))
-        small.append(left.where(F.col("size") <= SMALL_REGION).select("g", "c", "n"))
-        large = left.where(F.col("size") > SMALL_REGION)
-        if large.isEmpty():
-            break
-        chance = F.pmod(F.xxhash64("c", F.lit(pivots_each)), F.lit(1 << 30)) / F.lit(1 << 30)
-        chosen = large.where((F.col("c") == F.col("p")) | (chance < F.lit(pivots_each) / F.col("size")))
-        met = large.select("g", "c", "n").join(chosen.select("g", F.col("c").alias("q"), F.col("n").alias("nq")), "g")
+def _recurse(members: DataFrame, distances: _Distances, work: Workspace) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Ball after ball: ``compared`` (``c, q, low, d``; q a pivot), and what the balls leave over of small and of large
+    regions (``g, c, n``)."""
+    compared = _both_ways(distances.compare(_unordered(members.where("c != p"), "c", "p")))
+    links = compared.where("d is not null").select("c", F.col("q").alias("p"))
+    left = members.where("c != p").join(links, ["c", "p"], "left_anti")
+    sizes = left.groupBy("g").agg(F.count("*").alias("size")).where("size > 1")
+    left = work.keep(left.join(sizes, "g"))
+    small = left.where(F.col("size") <= SMALL_REGION).select("g", "c", "n", "most")
+    # Regions with one pivot overlap in most members: they go on as one.
+    large = work.keep(left.where(F.col("size") > SMALL_REGION).select(F.col("p").alias("g"), "c", "n").distinct())
+    for turn in range(ROUNDS):
+        sizes = large.groupBy("g").agg(F.count("*").alias("size"), F.min("c").alias("least"))
+        drawn = F.pmod(F.xxhash64("c", F.lit(turn)), F.lit(1 << 30)) * F.col("size") < F.lit(PIVOTS << 30)
+        chosen = large.join(sizes, "g").where((F.col("c") == F.col("least")) | drawn)
+        chosen = chosen.select("g", F.col("c").alias("q"), F.col("n").alias("nq"))
         alike = F.least("n", "nq") >= F.greatest("n", "nq") * F.lit(2 * float(distances.similarity) - 1 - 1e-9)
-        pairs = distances.compare(_unordered(met.where((F.col("c") != F.col("q")) & alike), "c", "q"))
-        compared.append(_both_ways(pairs))
-        links = compared[-1].where("d is not null").select("c", "q")
-        inside = met.select("g", "c", "q").join(links, ["c", "q"], "left_semi").select("g", "c")
-        gone = inside.unionByName(chosen.select("g", "c")).distinct()
-        left = large.select("g", "c", "n").join(gone, ["g", "c"], "left_anti")
-        pivots_each *= GROWTH
-    every, rest = compared[0], small[0]
-    for more in compared[1:]:
-        every = every.unionByName(more)
-    for more in small[1:]:
-        rest = rest.unionByName(more)
-    return work.keep(every), rest
-
-
-def _undecided(compared: DataFrame, rest: DataFrame, groups: DataFrame, similarity: Fraction) -> DataFrame:
-    """Pairs that the pivots neither linked nor kept apart: ball with ring, and what is left of small regions."""
-    r = float(1 - similarity) + 1e-9
+        met = work.keep(large.join(chosen, "g").where((F.col("c") != F.col("q")) & alike).select("g", "c", "q"))
+        more = _both_ways(distances.compare(_unordered(met, "c", "q")))
+        links = more.where("d is not null").select("c", "q")
+        inside = met.join(links, ["c", "q"], "left_semi").select("g", "c")
+        gone = inside.unionByName(chosen.select("g", F.col("q").alias("c"))).distinct()
+        large = work.keep(large.join(gone, ["g", "c"], "left_anti"))
+        compared = compared.unionByName(more)
+    return work.keep(compared), small, large
+
+
+def _undecided(
+    compared: DataFrame, small: DataFrame, large: DataFrame, groups: DataFrame, distances: _Distances
+) -> DataFrame:
+    """Pairs that the pivots neither linked nor kept apart: ball with ring, and what the balls left over.
+
+    Where many documents meet (rings, large regions) they bring their sketches to the join, so that only pairs that
+    may be linked come out of it."""
+    r = 1 - distances.similarity
     grouped = groups.select(F.col("node").alias("c"), "component")
-    component = F.coalesce("component", "c")
-    near = compared.join(grouped, "c", "left").withColumn("component", component)
-    ball = near.where("d is not null").select("q", F.col("c").alias("x"), F.col("d").alias("dx"), F.col("component").alias("cx"))
-    ring = near.where("d is null").select("q", F.col("c").alias("y"), F.col("low").alias("ly"), F.col("component").alias("cy"))
-    across = ball.join(ring, "q").where((F.col("cx") != F.col("cy")) & (F.col("ly") <= F.col("dx") + F.lit(r)))
-    rest = rest.join(grouped, "c", "left").withColumn("component", component)
-    left = rest.select("g", F.col("c").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"))
-    right = rest.select("g", F.col("c").alias("y"), F.col("n").alias("ny"), F.col("component").alias("cy"))
-    sized = F.least("nx", "ny") * F.lit(similarity.denominator) >= F.greatest("nx", "ny") * F.lit(similarity.numerator)
-    direct = left.join(right, "g").where((F.col("x") < F.col("y")) & (F.col("cx") != F.col("cy")) & sized)
-    return _unordered(across.select("x", "y").unionByName(direct.select("x", "y")), "x", "y")
+    known = distances.classes.select("c", "n", "sketch").join(grouped, "c", "left")
+    known = known.withColumn("component", F.coalesce("component", "c"))
+    few = small.join(grouped, "c", "left").withColumn("component", F.coalesce("component", "c"))
+
+    def side(name: str) -> DataFrame:
+        return few.select("g", *(F.col(c).alias(c + name) for c in ("c", "n", "most", "component")))
+
+    def end(rows: DataFrame, name: str) -> DataFrame:
+        renamed = [F.col(c).alias(c + name) if c in ("c", "n", "sketch", "component") else F.col(c) for c in (*rows.columns, "n", "sketch", "component")]
+        return rows.join(known, "c").select(renamed)
+
+    most = (F.col("nx") + F.col("ny")) * F.lit(float(r / (2 - r))) + F.lit(1e-6)
+    sized = F.least("nx", "ny") * F.lit(distances.similarity.denominator) >= F.greatest("nx", "ny") * F.lit(distances.similarity.numerator)
+    apart = (F.col("componentx") != F.col("componenty")) & sized
+    open_ = apart & (_differing("sketchx", "sketchy") <= most)
+    ball = end(compared.where("d is not null").select("q", "c", "d"), "x")
+    ring = end(compared.where("d is null").select("q", "c", "low"), "y")
+    across = ball.join(ring, "q").where((F.col("low") <= F.col("d") + F.lit(float(r) + 1e-9)) & open_)
+    left_over = large.select("g", "c")
+    direct = end(left_over, "x").join(end(left_over, "y"), "g").where((F.col("cx") < F.col("cy")) & open_)
+    fits = (F.col("nx") <= F.col("mosty")) & (F.col("ny") <= F.col("mostx"))
+    near = side("x").join(side("y"), "g").where((F.col("cx") < F.col("cy")) & apart & fits)
+    pairs = [found.select("cx", "cy") for found in (across, direct, near)]
+    return _unordered(pairs[0].unionByName(pairs[1]).unionByName(pairs[2]), "cx", "cy")
 
 
 def jaccard_join(
@@ -342,7 +373,7 @@ def jaccard_join(
         rows = described.where("n is not null").select("doc_id", "text_key", "n", "c", "sketch")
         owner = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_key"))
         classes = rows.where("c is not null").groupBy("c")
-        classes = classes.agg(F.max("n").alias("n"), F.max("sketch").alias("sketch"), owner.alias("owner"))
+        classes = classes.agg(F.max("n").alias("n"), F.first("sketch", ignorenulls=True).alias("sketch"), owner.alias("owner"))
         classes = work.keep(
             classes.select("c", "n", "sketch", "owner", F.col("owner.doc_id").alias("doc_id"), F.col("owner.text_key").alias("text_key"))
             .select("c", "n", "sketch", "owner", *_key(rows))
@@ -351,10 +382,10 @@ def jaccard_join(
         frequent = [tuple(row) for row in frequent.orderBy(F.desc("df"), "g").limit(FREQUENT).collect()]
         members = _regions(_first_pivots(source, frequent, similarity), work)
         distances = _Distances(source, classes, similarity, work)
-        compared, rest = _recurse(members, distances, work)
+        compared, small, large = _recurse(members, distances, work)
         links = compared.where("d is not null").select(F.col("c").alias("a"), F.col("q").alias("b"))
         groups = connected_components(links, work)
-        more = distances.compare(_undecided(compared, rest, groups, similarity)).where("d is not null").select("a", "b")
+        more = distances.compare(_undecided(compared, small, large, groups, distances)).where("d is not null").select("a", "b")
         if not more.isEmpty():
             groups = connected_components(links.unionByName(more), work)
         return work.result(_labelled(rows, classes, groups))

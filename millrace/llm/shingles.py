@@ -117,11 +117,13 @@ def _of_words(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def shingle_groups(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Groups of consecutive texts: the first one's row, all shingles in text order, and how many each text has."""
-    column = column.cast(pa.large_string())
-    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    width = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    offsets = np.frombuffer(column.buffers()[1], width)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     data = column.buffers()[2]
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     valid = np.asarray(column.is_valid())
+    if not len(column):
+        return
     row = 0
     while row < len(column):
         to = max(row + 1, int(np.searchsorted(offsets, offsets[row] + GROUP_BYTES, "right")) - 1)
