@@ -28,8 +28,8 @@ SYMBOLS = "abcdefghijklmnopqrstuvwxyz0#"  # letters in either case, all digits a
 SAMPLE_DOCS = 2_000  # documents whose words the model of ordinary strings is learnt from, at most
 SAMPLE_STRINGS = 4_000  # random strings that the other model is learnt from
 SMOOTHING = 0.5  # added to the count of every pair
-MEAN_RATIO = 0.6  # least log-likelihood ratio per pair of characters
-SUM_RATIO = 16.0  # least log-likelihood ratio of the token
+MEAN_RATIO = 1.2  # least log-likelihood ratio per pair of characters
+SUM_RATIO = 24.0  # least log-likelihood ratio of the token
 SEED = 3
 
 
@@ -57,11 +57,13 @@ def _log_probabilities(counts: DataFrame) -> list[float]:
 
 
 def train_ratios(random_strings: DataFrame, ordinary: DataFrame) -> list[float]:
-    """Log-likelihood ratio of each pair of symbols, random against ordinary, from labelled samples (``string``)."""
-    return [
-        a - b
-        for a, b in zip(_log_probabilities(_pair_counts(random_strings)), _log_probabilities(_pair_counts(ordinary)))
-    ]
+    """Log-likelihood ratio of each pair of symbols, random against ordinary, from labelled samples (``string``).
+
+    Words have no marks in them, but paths and compound names do, so a pair with a mark says nothing.
+    """
+    random, known = (_log_probabilities(_pair_counts(strings)) for strings in (random_strings, ordinary))
+    pairs = [first + second for first in SYMBOLS for second in SYMBOLS]
+    return [0.0 if "#" in pair else a - b for pair, a, b in zip(pairs, random, known)]
 
 
 def labelled_samples(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
