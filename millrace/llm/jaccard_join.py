@@ -185,8 +185,8 @@ def _first_pivots(source: DataFrame, frequent: list[tuple[int, int]], similarity
 
 
 def _regions(first: DataFrame, work: Workspace) -> DataFrame:
-    """``g, c, n, most, p``: members of the regions with at least two classes, the largest size of a partner, and the
-    region's pivot document ``p``."""
+    """``g, c, n, most, p, several``: members of the regions with at least two classes but for the region's pivot document
+    ``p``, the largest size of a partner, and whether the region may hold a third class."""
     part = Window.partitionBy("g", "s")
     n, most = F.shiftright("meta", 32), F.col("meta").bitwiseAND(F.lit(0xFFFF))
     rare = F.shiftright("meta", 16).bitwiseAND(F.lit(0xFFFF))
@@ -198,10 +198,13 @@ def _regions(first: DataFrame, work: Workspace) -> DataFrame:
     met = met.withColumn("rows", F.count("*").over(part))
     met = met.withColumn("fits", (others["n"] <= F.col("most")) & (F.col("n") <= others["most"]))
     apart = (F.col("p.c") != F.col("q.c")) & ((F.col("rows") > 2) | F.col("fits"))
-    shared = work.keep(met.where((F.col("s") > 0) | apart).drop("rows", "fits", "w").distinct())
+    wanted = (F.col("s") > 0) | (apart & (F.col("c") != F.col("p.c")))
+    shared = work.keep(met.where(wanted).withColumn("several", F.col("rows") > 2).drop("rows", "fits", "w").distinct())
     pivots = shared.where("s > 0").groupBy("g").agg(F.min("p").alias("p"), F.max("q").alias("q")).where("p.c != q.c")
-    hot = shared.where("s > 0").select("g", "c", "n", "most").join(pivots.select("g", F.col("p.c").alias("p")), "g")
-    return work.keep(shared.where("s = 0").select("g", "c", "n", "most", F.col("p.c").alias("p")).unionByName(hot))
+    hot = shared.where("s > 0").select("g", "c", "n", "most", F.lit(True).alias("several"))
+    hot = hot.join(pivots.select("g", F.col("p.c").alias("p")), "g").where("c != p")
+    few = shared.where("s = 0").select("g", "c", "n", "most", "several", F.col("p.c").alias("p"))
+    return work.keep(few.unionByName(hot))
 
 
 class _Distances:
@@ -296,9 +299,10 @@ def _both_ways(pairs: DataFrame) -> DataFrame:
 def _recurse(members: DataFrame, distances: _Distances, work: Workspace) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Ball after ball: ``compared`` (``c, q, low, d``; q a pivot), and what the balls leave over of small and of large
     regions (``g, c, n``)."""
-    compared = _both_ways(distances.compare(_unordered(members.where("c != p"), "c", "p")))
+    compared = _both_ways(distances.compare(_unordered(members, "c", "p")))
     links = compared.where("d is not null").select("c", F.col("q").alias("p"))
-    left = members.where("c != p").join(links, ["c", "p"], "left_anti")
+    # Where the pivot has met its only other class nothing is left to join.
+    left = members.where("several").drop("several").join(links, ["c", "p"], "left_anti")
     sizes = left.groupBy("g").agg(F.count("*").alias("size")).where("size > 1")
     left = work.keep(left.join(sizes, "g"))
     small = left.where(F.col("size") <= SMALL_REGION).select("g", "c", "n", "most")
