@@ -185,13 +185,13 @@ def _first_pivots(source: DataFrame, frequent: list[tuple[int, int]], similarity
 
 
 def _regions(first: DataFrame, work: Workspace) -> DataFrame:
-    """``g, c, n, most, p, several``: members of the regions with at least two classes but for the region's pivot document
-    ``p``, the largest size of a partner, and whether the region may hold a third class."""
+    """``g, c, n, most, several, p, np``: members of the regions with at least two classes but for the region's pivot
+    document ``p`` of size ``np``, the largest size of a partner, and whether the region may hold a third class."""
     part = Window.partitionBy("g", "s")
     n, most = F.shiftright("meta", 32), F.col("meta").bitwiseAND(F.lit(0xFFFF))
     rare = F.shiftright("meta", 16).bitwiseAND(F.lit(0xFFFF))
     rows = first.select("g", "s", "c", n.alias("n"), F.ceil(n * most / 1000).alias("most"), rare.alias("w"))
-    typical = F.struct("w", "c")
+    typical = F.struct("w", "c", "n")
     # In a region of two rows the other one's size and its largest partner are known at once.
     others = {c: F.sum(c).over(part) - F.col(c) for c in ("n", "most")}
     met = rows.withColumn("p", F.min(typical).over(part)).withColumn("q", F.max(typical).over(part))
@@ -202,8 +202,9 @@ def _regions(first: DataFrame, work: Workspace) -> DataFrame:
     shared = work.keep(met.where(wanted).withColumn("several", F.col("rows") > 2).drop("rows", "fits", "w").distinct())
     pivots = shared.where("s > 0").groupBy("g").agg(F.min("p").alias("p"), F.max("q").alias("q")).where("p.c != q.c")
     hot = shared.where("s > 0").select("g", "c", "n", "most", F.lit(True).alias("several"))
-    hot = hot.join(pivots.select("g", F.col("p.c").alias("p")), "g").where("c != p")
-    few = shared.where("s = 0").select("g", "c", "n", "most", "several", F.col("p.c").alias("p"))
+    pivot = F.col("p.c").alias("p"), F.col("p.n").alias("np")
+    hot = hot.join(pivots.select("g", *pivot), "g").where("c != p")
+    few = shared.where("s = 0").select("g", "c", "n", "most", "several", *pivot)
     return work.keep(few.unionByName(hot))
 
 
@@ -299,10 +300,11 @@ def _both_ways(pairs: DataFrame) -> DataFrame:
 def _recurse(members: DataFrame, distances: _Distances, work: Workspace) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Ball after ball: ``compared`` (``c, q, low, d``; q a pivot), and what the balls leave over of small and of large
     regions (``g, c, n``)."""
-    compared = _both_ways(distances.compare(_unordered(members, "c", "p")))
+    alike = F.least("n", "np") >= F.greatest("n", "np") * F.lit(2 * float(distances.similarity) - 1 - 1e-9)
+    compared = _both_ways(distances.compare(_unordered(members.where(alike), "c", "p")))
     links = compared.where("d is not null").select("c", F.col("q").alias("p"))
     # Where the pivot has met its only other class nothing is left to join.
-    left = members.where("several").drop("several").join(links, ["c", "p"], "left_anti")
+    left = members.where("several").drop("several", "np").join(links, ["c", "p"], "left_anti")
     sizes = left.groupBy("g").agg(F.count("*").alias("size")).where("size > 1")
     left = work.keep(left.join(sizes, "g"))
     small = left.where(F.col("size") <= SMALL_REGION).select("g", "c", "n", "most")
