@@ -165,6 +165,29 @@ def _result(check: Check, failures: Column) -> Column:
     )
 
 
+KINDS = ("not_null", "unique", "accepted_values", "relationships", "column_exists", "column_type")
+
+
+def _refuse_unknown(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> None:
+    """Raise before anything is read: a check that cannot run must not look like one that passed."""
+    unknown = [c.key() for c in checks if c.kind not in KINDS and c.predicate is None]
+    absent = {c.table for c in checks} - set(tables)
+    absent |= {c.parent[0] for c in checks if c.kind == "relationships" and c.parent and c.predicate is None} - set(tables)
+    orphaned = [c.key() for c in checks if c.kind == "relationships" and not c.parent and c.predicate is None]
+    if not checks:
+        raise ValueError("no checks given")
+    if unknown or absent or orphaned:
+        raise ValueError(f"unknown kinds: {unknown}; tables not given: {sorted(absent)}; no parent: {orphaned}")
+
+
+def _has_columns(check: Check, tables: Mapping[str, DataFrame]) -> bool:
+    """Whether the columns that a check reads exist; a predicate is free SQL and finds its own."""
+    if check.predicate is not None or check.kind in ("column_exists", "column_type"):
+        return True
+    here = check.column in tables[check.table].columns
+    return here and (check.kind != "relationships" or check.parent[1] in tables[check.parent[0]].columns)
+
+
 def _schema_failures(check: Check, schema: T.StructType) -> Column:
     types = {f.name: f.dataType.simpleString() for f in schema.fields}
     if check.kind == "column_exists":
@@ -175,23 +198,30 @@ def _schema_failures(check: Check, schema: T.StructType) -> Column:
 def run_suite(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """One row per check: failures and whether it passed.
 
-    All row tests of a table share one scan and one aggregate; uniqueness and relationship checks
+    An unknown kind or a table that is not given raises. A check of an absent column has one failure. A
+    suite without checks raises too. All row tests of a table share one scan and one aggregate; uniqueness and relationship checks
     aggregate by key first, so hot keys shrink before they move.
     """
+    _refuse_unknown(tables, checks)
     parts = []
     for name, df in tables.items():
-        mine = [c for c in checks if c.table == name]
+        known = [c for c in checks if c.table == name]
+        mine = [c for c in known if _has_columns(c, tables)]
+        columnless = [c for c in known if c not in mine]
         by_row = [c for c in mine if c.row_test() is not None]
-        by_schema = [c for c in mine if c.kind in ("column_exists", "column_type")]
-        if by_row or by_schema:
+        by_schema = [c for c in mine if c.kind in ("column_exists", "column_type") and c.predicate is None]
+        if by_row or by_schema or columnless:
             counts = df.agg(
                 F.count(F.lit(1)).alias("_rows"),
                 *[F.count_if(c.row_test()).alias(f"_c{i}") for i, c in enumerate(by_row)],
             )
             results = [_result(c, F.col(f"_c{i}")) for i, c in enumerate(by_row)]
             results += [_result(c, _schema_failures(c, df.schema)) for c in by_schema]
+            results += [_result(c, F.lit(1)) for c in columnless]
             parts.append(counts.select(F.inline(F.array(*results))))
         for check in mine:
+            if check.predicate is not None:
+                continue
             if check.kind == "unique":
                 repeated = unique(df, check.column).agg(F.count(F.lit(1)).alias("_n"))
                 parts.append(repeated.select(F.inline(F.array(_result(check, F.col("_n"))))))

@@ -128,7 +128,7 @@ def primary_or_fallback(spark, folder):
         lambda: orders.select("o_orderkey", "o_orderstatus"),
         path,
     )
-    return spark.read.parquet(path).withColumn("written_by", F.lit(chosen))
+    return spark.read.parquet(path).withColumn("written_by", F.lit(chosen.written))
 
 
 RUN_LOG = """run_log AS (SELECT CAST(o_orderdate AS DATE) AS day, max(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS ok

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import datetime as dt
 import time
+import uuid
 from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.schemas import CREATED_DAY
+from millrace.session import remove_folder
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
@@ -122,14 +125,47 @@ def load_seed(spark: SparkSession, path: str, schema: str, table: str, location:
     load_table(read_csv_typed(spark, path, schema), table, location)
 
 
-def first_that_works(primary: Callable[[], DataFrame], fallback: Callable[[], DataFrame], path: str) -> str:
-    """Write the primary result, or the fallback if the primary fails; says which one was written."""
+class Attempt(NamedTuple):
+    """Which plan was written, and what stopped the primary one (None if nothing did)."""
+
+    written: str
+    error: Exception | None
+
+
+def first_that_works(primary: Callable[[], DataFrame], fallback: Callable[[], DataFrame], path: str) -> Attempt:
+    """Write the primary result, or the fallback if the primary fails.
+
+    Each attempt goes to a folder of its own beside ``path`` and takes its place only when it is complete, so
+    the old output stays when both fail; the fallback's error is then raised from the primary's.
+    """
+    try:
+        _write_aside(primary(), path)
+        return Attempt("primary", None)
+    except Exception as stopped:  # whatever stopped the primary, the fallback is the answer
+        try:
+            _write_aside(fallback(), path)
+        except Exception as error:
+            raise error from stopped
+        return Attempt("fallback", stopped)
+
+
+def _write_aside(df: DataFrame, path: str) -> None:
+    """Write beside ``path``, then swap: the old folder is moved away first and removed last."""
+    spark, mark = df.sparkSession, uuid.uuid4().hex
+    fresh, old = f"{path.rstrip('/')}.new-{mark}", f"{path.rstrip('/')}.old-{mark}"
     try:
-        write_parquet(primary(), path)
-        return "primary"
-    except Exception:  # whatever stopped the primary, the fallback is the answer
-        write_parquet(fallback(), path)
-        return "fallback"
+        write_parquet(df, fresh)
+    except Exception:
+        remove_folder(spark, fresh)
+        raise
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    files = Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(Path(path)) and not files.rename(Path(path), Path(old)):
+        raise OSError(f"{path} cannot be moved")
+    if not files.rename(Path(fresh), Path(path)):
+        files.rename(Path(old), Path(path))
+        raise OSError(f"{fresh} cannot take the place of {path}")
+    remove_folder(spark, old)
 
 
 def ingest_day(df: DataFrame | None, path: str, ts: str, day: dt.date | str) -> bool:

@@ -234,9 +234,15 @@ def test_clustered_load_spreads_a_hot_value(spark, tmp_path):
 def test_fallback_plan(spark, tmp_path):
     good = spark.createDataFrame([("1",)], "a string")
     bad = spark.createDataFrame([("x",)], "a string").select(F.col("a").cast("int"))
-    assert S.first_that_works(lambda: good, lambda: bad, str(tmp_path / "p")) == "primary"
-    assert S.first_that_works(lambda: bad, lambda: good, str(tmp_path / "f")) == "fallback"
+    assert S.first_that_works(lambda: good, lambda: bad, str(tmp_path / "p")) == ("primary", None)
+    written, error = S.first_that_works(lambda: bad, lambda: good, str(tmp_path / "f"))
+    assert written == "fallback" and "CAST_INVALID_INPUT" in str(error)
     assert rows(spark.read.parquet(str(tmp_path / "f"))) == [("1",)]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT") as both:
+        S.first_that_works(lambda: bad, lambda: bad, str(tmp_path / "f"))
+    assert "CAST_INVALID_INPUT" in str(both.value.__cause__)
+    assert rows(spark.read.parquet(str(tmp_path / "f"))) == [("1",)]  # the old output is still there
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["f", "p"]
 
 
 def test_backfill_modes(spark):

@@ -57,6 +57,21 @@ def test_record_validation(spark):
     assert rows(number.select("n", F.size("errors"))) == [(5, 0), (None, 1)]
 
 
+def test_suite_loses_no_check(spark):
+    df = frame(spark)
+    absent = [Q.Check("t", "nope", "not_null"), Q.Check("t", "nope", "unique"), Q.Check("t", "id", "unique")]
+    found = {(r["column_name"], r["check_name"]): (r["failures"], r["passed"]) for r in Q.run_suite({"t": df}, absent).collect()}
+    assert found == {("nope", "not_null"): (1, False), ("nope", "unique"): (1, False), ("id", "unique"): (1, False)}
+    parent = Q.Check("t", "id", "relationships", parent=("elsewhere", "id"))
+    for lost in (Q.Check("elsewhere", "id", "not_null"), Q.Check("t", "id", "notnull"), Q.Check("t", "id", "relationships"), parent):
+        with pytest.raises(ValueError, match="unknown kinds|not given|no parent"):
+            Q.run_suite({"t": df}, [Q.Check("t", "id", "not_null"), lost])
+    with pytest.raises(ValueError, match="no checks"):
+        Q.run_suite({"t": df}, [])
+    free = Q.Check("t", "id", "positive", predicate="id <= 1")
+    assert Q.run_suite({"t": df}, [free]).first()["failures"] == 2
+
+
 def test_suite_has_one_row_per_check(spark):
     tables = {"child": frame(spark), "parent": spark.createDataFrame([(1,)], "key int")}
     checks = [
