@@ -16,7 +16,7 @@ import json
 from collections.abc import Callable, Collection, Mapping, Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,17 +28,12 @@ from millrace.sinks.tables import with_day
 
 LOG = "version bigint, operation string, committed_at timestamp, days bigint, table_schema string"
 STORED = "stored_as"
-NULL_REQUIRED = "required field is null"
 
 
 class ConstraintError(ValueError):
     """Rows violate the table's required fields or its key."""
 
 
-def _required(column: str) -> Column:
-    return F.coalesce(F.col(column), F.raise_error(F.lit(f"{NULL_REQUIRED}: {column}")))
-
-
 class LakeTable:
     """A keyed table partitioned by the day of one timestamp. Required fields are the non-nullable ones.
 
@@ -133,14 +128,13 @@ class LakeTable:
     # -- changing -------------------------------------------------------------------------------
 
     def append(self, rows: DataFrame) -> None:
-        """Add rows in one pass: a null in a required field stops the load, and nothing is added."""
-        guarded = self._conformed(rows).withColumns({c: _required(c) for c in self._required()})
-        try:
-            self._write(with_day(guarded, self.ts, CREATED_DAY), "append")
-        except PySparkException as error:
-            if NULL_REQUIRED in str(error):
-                raise ConstraintError(f"a required field of {self._required()} is null") from error
-            raise
+        """Add rows. A null in a required field, a key given twice or a key that the table has already stops
+        the load before anything is added. Of the stored rows only the keys are read."""
+        with steps(self.spark) as keep:
+            rows, keys = self._checked(rows, keep), list(self.keys)
+            if not rows.select(*keys).join(self._stored().select(*keys), keys, "left_semi").isEmpty():
+                raise ConstraintError(f"key {self.keys} of a given row is in the table already")
+            self._write(with_day(rows, self.ts, CREATED_DAY), "append")
         self._commit("append", 0)
 
     def upsert(self, rows: DataFrame) -> None:

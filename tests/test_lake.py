@@ -124,6 +124,14 @@ def test_columns_come_and_go(spark, sales):
         again.drop_column("id")
 
 
+def test_append_refuses_repeated_keys(spark, sales):
+    names, day = COLUMNS.rsplit(",", 1)[0], dt.datetime(2025, 6, 9)
+    for given in ([(8, "toys", 1.0, day), (8, "toys", 2.0, day)], [(8, "toys", 1.0, day), (5, "toys", 1.0, day)]):
+        with pytest.raises(ConstraintError, match="key"):
+            sales.append(spark.createDataFrame(given, names))
+    assert ids(sales.scan()) == [1, 2, 3, 4, 5] and sales.version == 1
+
+
 def test_append_and_history(spark, sales):
     sales.append(spark.createDataFrame([(8, "toys", 1.0, dt.datetime(2025, 6, 9))], COLUMNS.rsplit(",", 1)[0]))
     assert ids(sales.scan()) == [1, 2, 3, 4, 5, 8]
