@@ -46,6 +46,8 @@ FREQUENT = 1 << 16  # frequent shingles that are ordered by their count; the ord
 BROADCAST_KEYS = 200_000  # documents, of 16 bytes each, that are looked up without a shuffle
 SALTS = 64  # parts of a frequent shingle's region while its pivot is found
 SMALL_REGION = 32  # documents that are joined directly
+SALT_AT = 57  # first of the bits of a frequent shingle that its salt changes
+PARTNER_STEPS = 64  # of a document's size, in which the size of its largest partner is rounded up
 ROUNDS = 1  # further rounds of large regions
 PIVOTS = 8  # of a large region in a further round, on average
 
@@ -130,9 +132,10 @@ def _describe(source: DataFrame) -> DataFrame:
 
 
 def _first_pivots(source: DataFrame, frequent: list[tuple[int, int]], similarity: Fraction) -> DataFrame:
-    """``g, s, c, meta``: the regions of each class, once a task; ``s`` is a salt above 0 for frequent shingles. ``meta``
-    has the class's size, the share of its shingles that are rare, in thousandths, and how large a partner may be, in
-    thousandths of its own size: all shingles before g are missing in a document first met at g."""
+    """``k, c, meta``: the regions of each class, once a task; k is the shingle g, with a salt s above 0 in its first bits
+    if g is frequent. ``meta`` has the class's size, s, the share of its shingles that are rare, in thousandths, and
+    how large a partner may be, in steps of its own size: all shingles before g are missing in a document first met
+    at g. The steps are coarse, so that neighbouring rows of a document are alike and compress."""
     frequent = sorted((np.uint64(g & (2**64 - 1)), df) for g, df in frequent)
     known = np.array([g for g, _ in frequent], np.uint64)
     counts = np.array([df for _, df in frequent], np.int64)
@@ -165,32 +168,35 @@ def _first_pivots(source: DataFrame, frequent: list[tuple[int, int]], similarity
                 salt = 1 + int(one) % SALTS
                 size, chosen = len(found), np.concatenate([cold, hot])
                 left = size - np.arange(len(chosen))
-                partner = -(-1000 * (left * whole // part - size) // size)
-                meta = (size << 32) + ((1000 * int(rare.sum()) // size) << 16) + partner
-                rows.append((chosen, len(hot), salt, one, meta))
+                partner = -(-PARTNER_STEPS * (left * whole // part - size) // size)
+                meta = (size << 33) + ((1000 * int(rare.sum()) // size) << 16) + partner
+                meta[len(cold) :] += salt << 26
+                keys = chosen.copy()
+                keys[len(cold) :] ^= np.uint64(salt << SALT_AT)
+                rows.append((keys, one, meta))
             if rows:
                 sizes = [len(row[0]) for row in rows]
-                salts = [np.r_[np.zeros(len(row[0]) - row[1], np.int32), np.full(row[1], row[2], np.int32)] for row in rows]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.concatenate([row[0] for row in rows]).view(np.int64)),
-                        pa.array(np.concatenate(salts)),
-                        pa.array(np.repeat(np.array([row[3] for row in rows], np.int64), sizes)),
-                        pa.array(np.concatenate([row[4] for row in rows])),
+                        pa.array(np.repeat(np.array([row[1] for row in rows], np.int64), sizes)),
+                        pa.array(np.concatenate([row[2] for row in rows])),
                     ],
-                    ["g", "s", "c", "meta"],
+                    ["k", "c", "meta"],
                 )
 
-    return source.select("text").mapInArrow(pivots, "g long, s int, c long, meta long")
+    return source.select("text").mapInArrow(pivots, "k long, c long, meta long")
 
 
 def _regions(first: DataFrame, work: Workspace) -> DataFrame:
     """``g, c, n, most, several, p, np``: members of the regions with at least two classes but for the region's pivot
     document ``p`` of size ``np``, the largest size of a partner, and whether the region may hold a third class."""
-    part = Window.partitionBy("g", "s")
-    n, most = F.shiftright("meta", 32), F.col("meta").bitwiseAND(F.lit(0xFFFF))
-    rare = F.shiftright("meta", 16).bitwiseAND(F.lit(0xFFFF))
-    rows = first.select("g", "s", "c", n.alias("n"), F.ceil(n * most / 1000).alias("most"), rare.alias("w"))
+    part = Window.partitionBy("k")
+    n, most = F.shiftright("meta", 33), F.col("meta").bitwiseAND(F.lit(0xFFFF))
+    rare, s = F.shiftright("meta", 16).bitwiseAND(F.lit(0x3FF)), F.shiftright("meta", 26).bitwiseAND(F.lit(0x7F))
+    g = F.col("k").bitwiseXOR(F.shiftleft(s, SALT_AT))
+    rows = first.repartition("k")  # they move as they are and are taken apart behind the shuffle
+    rows = rows.select("k", g.alias("g"), s.alias("s"), "c", n.alias("n"), F.ceil(n * most / PARTNER_STEPS).alias("most"), rare.alias("w"))
     typical = F.struct("w", "c", "n")
     # In a region of two rows the other one's size and its largest partner are known at once.
     others = {c: F.sum(c).over(part) - F.col(c) for c in ("n", "most")}
@@ -199,7 +205,7 @@ def _regions(first: DataFrame, work: Workspace) -> DataFrame:
     met = met.withColumn("fits", (others["n"] <= F.col("most")) & (F.col("n") <= others["most"]))
     apart = (F.col("p.c") != F.col("q.c")) & ((F.col("rows") > 2) | F.col("fits"))
     wanted = (F.col("s") > 0) | (apart & (F.col("c") != F.col("p.c")))
-    shared = work.keep(met.where(wanted).withColumn("several", F.col("rows") > 2).drop("rows", "fits", "w").distinct())
+    shared = work.keep(met.where(wanted).withColumn("several", F.col("rows") > 2).drop("rows", "fits", "w", "k").distinct())
     pivots = shared.where("s > 0").groupBy("g").agg(F.min("p").alias("p"), F.max("q").alias("q")).where("p.c != q.c")
     hot = shared.where("s > 0").select("g", "c", "n", "most", F.lit(True).alias("several"))
     pivot = F.col("p.c").alias("p"), F.col("p.n").alias("np")
