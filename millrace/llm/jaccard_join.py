@@ -19,7 +19,8 @@ The pivot of a region is its most typical member, the one with the smallest shar
 of many edited copies comes before the copies.
 
 Distances are bounded below by parity sketches (bit h mod B flips for every shingle hash h; two sketches differ
-in at most as many bits as the sets differ in shingles) and computed exactly where the bound allows a link.
+in at most as many bits as the sets differ in shingles) and computed exactly where the bound allows a link. Pairs
+that are only tested for a link, not for a ring, move with sketches folded to half their length.
 Equal sets are one class from the start, so exact copies cost nothing after the first scan.
 
 The result is exact up to equal 64-bit hashes of different shingles or sets.
@@ -45,9 +46,9 @@ REPEATS = 3  # a shingle is reported as frequent when that many of them have it
 FREQUENT = 1 << 16  # frequent shingles that are ordered by their count; the order never changes the result
 BROADCAST_KEYS = 200_000  # documents, of 16 bytes each, that are looked up without a shuffle
 SALTS = 64  # parts of a frequent shingle's region while its pivot is found
-SMALL_REGION = 32  # documents that are joined directly
 SALT_AT = 57  # first of the bits of a frequent shingle that its salt changes
 PARTNER_STEPS = 64  # of a document's size, in which the size of its largest partner is rounded up
+SMALL_REGION = 32  # documents that are joined directly
 ROUNDS = 1  # further rounds of large regions
 PIVOTS = 8  # of a large region in a further round, on average
 
@@ -70,19 +71,21 @@ def _sketch(found: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
+def _folded(sketch: str) -> Column:
+    """The sketch of half as many bits."""
+    half = (F.size(sketch) / 2).cast("int")
+    return F.zip_with(F.slice(sketch, 1, half), F.slice(sketch, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+
+
 def _differing(a: str, b: str) -> Column:
     """Bits in which two sketches differ; one of sets up to twice as large is folded to the other's length."""
 
-    def folded(sketch: str) -> Column:
-        half = (F.size(sketch) / 2).cast("int")
-        return F.zip_with(F.slice(sketch, 1, half), F.slice(sketch, half + 1, half), lambda x, y: x.bitwiseXOR(y))
-
     def bits(x: Column, y: Column) -> Column:
         counts = F.zip_with(x, y, lambda one, other: F.bit_count(one.bitwiseXOR(other)))
         return F.aggregate(counts, F.lit(0), lambda total, one: total + F.coalesce(one, F.lit(0)))
 
     longer, shorter = F.size(a) > F.size(b), F.size(a) < F.size(b)
-    return F.when(longer, bits(folded(a), F.col(b))).when(shorter, bits(F.col(a), folded(b))).otherwise(bits(F.col(a), F.col(b)))
+    return F.when(longer, bits(_folded(a), F.col(b))).when(shorter, bits(F.col(a), _folded(b))).otherwise(bits(F.col(a), F.col(b)))
 
 
 def _source(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -222,8 +225,8 @@ class _Distances:
         self.sets: DataFrame | None = None
 
     def compare(self, pairs: DataFrame) -> DataFrame:
-        """``a, b, low, d`` of the pairs whose distance may be up to 2r: a lower bound, and the distance if it is
-        at most r (else null)."""
+        """``a, b, low, d`` of the pairs ``a, b, ring`` whose distance may be up to 2r, or r where ``ring`` is false:
+        a lower bound, and the distance if it is at most r (else null)."""
         bounded = self.work.keep(self._bounded(pairs))
         r = 1 - self.similarity
         near = bounded.where(F.col("low") <= float(r) + 1e-9).select("a", "b", "na", "nb")
@@ -238,9 +241,15 @@ class _Distances:
     def _bounded(self, pairs: DataFrame) -> DataFrame:
         left = self.classes.select(F.col("c").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
         right = self.classes.select(F.col("c").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-        reach = F.lit(2 * float(1 - self.similarity) + 1e-9)
+        r = float(1 - self.similarity)
+        reach = F.when(F.col("ring"), 2 * r + 1e-9).otherwise(r + 1e-9)
         sized = F.least("na", "nb") >= F.greatest("na", "nb") * (1 - reach)
-        met = pairs.select("a", "b").join(left, "a").join(right, "b").where(sized)
+
+        def needed(sketch: str) -> Column:
+            return F.when(F.col("ring") | (F.size(sketch) == 1), F.col(sketch)).otherwise(_folded(sketch))
+
+        met = pairs.select("a", "b", "ring").join(left, "a").withColumn("sa", needed("sa"))
+        met = met.join(right, "b").where(sized).withColumn("sb", needed("sb"))
         met = met.withColumn("differ", _differing("sa", "sb"))
         by_size = 1 - F.least("na", "nb") / F.greatest("na", "nb")
         low = F.greatest(2 * F.col("differ") / (F.col("na") + F.col("nb") + F.col("differ")), by_size)
@@ -292,8 +301,10 @@ def _key(source: DataFrame) -> list:
     return [F.coalesce("doc_id", "text_key").alias("row_key"), F.col("text_key")]
 
 
-def _unordered(pairs: DataFrame, a: str, b: str) -> DataFrame:
-    return pairs.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
+def _unordered(pairs: DataFrame, a: str, b: str, ring: Column) -> DataFrame:
+    """``a, b, ring``: each pair once, with a ring if one of its rows has it."""
+    ends = pairs.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"), ring.alias("ring"))
+    return ends.groupBy("a", "b").agg(F.max("ring").alias("ring"))
 
 
 def _both_ways(pairs: DataFrame) -> DataFrame:
@@ -307,7 +318,7 @@ def _recurse(members: DataFrame, distances: _Distances, work: Workspace) -> tupl
     """Ball after ball: ``compared`` (``c, q, low, d``; q a pivot), and what the balls leave over of small and of large
     regions (``g, c, n``)."""
     alike = F.least("n", "np") >= F.greatest("n", "np") * F.lit(2 * float(distances.similarity) - 1 - 1e-9)
-    compared = _both_ways(distances.compare(_unordered(members.where(alike), "c", "p")))
+    compared = _both_ways(distances.compare(_unordered(members.where(alike), "c", "p", F.col("several"))))
     links = compared.where("d is not null").select("c", F.col("q").alias("p"))
     # Where the pivot has met its only other class nothing is left to join.
     left = members.where("several").drop("several", "np").join(links, ["c", "p"], "left_anti")
@@ -323,7 +334,7 @@ def _recurse(members: DataFrame, distances: _Distances, work: Workspace) -> tupl
         chosen = chosen.select("g", F.col("c").alias("q"), F.col("n").alias("nq"))
         alike = F.least("n", "nq") >= F.greatest("n", "nq") * F.lit(2 * float(distances.similarity) - 1 - 1e-9)
         met = work.keep(large.join(chosen, "g").where((F.col("c") != F.col("q")) & alike).select("g", "c", "q"))
-        more = _both_ways(distances.compare(_unordered(met, "c", "q")))
+        more = _both_ways(distances.compare(_unordered(met, "c", "q", F.lit(True))))
         links = more.where("d is not null").select("c", "q")
         inside = met.join(links, ["c", "q"], "left_semi").select("g", "c")
         gone = inside.unionByName(chosen.select("g", F.col("q").alias("c"))).distinct()
@@ -364,7 +375,7 @@ def _undecided(
     fits = (F.col("nx") <= F.col("mosty")) & (F.col("ny") <= F.col("mostx"))
     near = side("x").join(side("y"), "g").where((F.col("cx") < F.col("cy")) & apart & fits)
     pairs = [found.select("cx", "cy") for found in (across, direct, near)]
-    return _unordered(pairs[0].unionByName(pairs[1]).unionByName(pairs[2]), "cx", "cy")
+    return _unordered(pairs[0].unionByName(pairs[1]).unionByName(pairs[2]), "cx", "cy", F.lit(False))
 
 
 def jaccard_join(
