@@ -433,12 +433,18 @@ def _labelled(rows: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFra
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one document of each component of ``jaccard_join``, all columns as they were.
 
-    Rows with equal doc_id and text are one document. Documents without words are kept, one per doc_id.
+    Rows with equal doc_id and text are one document. Documents without words are kept, one per doc_id. Texts move
+    at most once, by the key of the join; only rows that are repeated are then reduced to one.
     """
-    kept = jaccard_join(docs, doc_id, text).where("kept").select("doc_id", "text_key").distinct()
-    id_key, text_key = fresh(docs, "id_key"), fresh(docs, "text_key")
-    keyed = docs.withColumn(id_key, F.col(doc_id).cast("long")).withColumn(text_key, F.xxhash64(F.col(text).cast("string")))
-    matching = keyed[id_key].eqNullSafe(kept["doc_id"]) & (keyed[text_key] == kept["text_key"])
-    return keyed.join(kept, matching, "left_semi").dropDuplicates([id_key, text_key]).drop(id_key, text_key)
-
-
+    names = {name: fresh(docs, name) for name in ("id_key", "nameless", "text_key", "times")}
+    *key, times = names.values()
+
+    def keyed(rows: DataFrame, number: Column, digest: Column) -> DataFrame:
+        return rows.withColumns(dict(zip(key, (F.coalesce(number, digest), number.isNull(), digest))))
+
+    kept = jaccard_join(docs, doc_id, text).where("kept").select("doc_id", "text_key")
+    kept = kept.withColumnsRenamed({"doc_id": "number", "text_key": "digest"})
+    kept = keyed(kept, F.col("number"), F.col("digest")).groupBy(*key).agg(F.count("*").alias(times))
+    found = keyed(docs, F.col(doc_id).cast("long"), F.xxhash64(F.col(text).cast("string"))).join(kept, key)
+    once, repeated = found.where(F.col(times) == 1), found.where(F.col(times) > 1).dropDuplicates(key)
+    return once.unionByName(repeated).drop(*key, times)
