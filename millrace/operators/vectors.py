@@ -24,6 +24,7 @@ MODEL_BATCH = 512  # texts per model call
 MAX_MATCHES = 50_000  # (query, rank) rows that may be broadcast
 BLOCK_ROWS = 20_000  # base rows per cell of the shuffled form
 CHUNK_CELLS = 2_000_000  # numbers held at once while distances are computed
+REPEATED = "query ids are repeated"
 
 Embedder = Callable[[Sequence[str]], np.ndarray]
 
@@ -150,7 +151,8 @@ def nearest_for_each(
     Up to ``max_local`` queries (counted first) are shipped to the tasks that scan the base; each task
     emits ``k`` rows a query. More queries are cut into blocks and met with blocks of the base in a
     shuffled co-group, so neither side has to fit anywhere. Vectors must share one length; rows with
-    null vectors are left out. ``digits`` rounds distances before ranking, which makes near-ties stable.
+    null vectors are left out. Repeated query ids are refused, as their matches could not be told apart.
+    ``digits`` rounds distances before ranking, which makes near-ties stable.
     """
     queries = queries.select(F.col(query_id).alias("query_id"), F.col(column).alias("vector"))
     base = base.select(F.col(base_id).alias("base_id"), F.col(column).alias("vector"))
@@ -165,8 +167,12 @@ def nearest_for_each(
     local = len(few) <= max_local
     if local:
         known = [row for row in few if row[0] is not None and row[1] is not None]
+        if len({row[0] for row in known}) < len(known):
+            raise ValueError(REPEATED)
         found = _local_candidates([r[0] for r in known], [r[1] for r in known], base, k, digits, schema)
     else:
+        if not queries.dropna().groupBy("query_id").count().filter("count > 1").isEmpty():
+            raise ValueError(REPEATED)
         found = _block_candidates(queries, base, k, digits, schema, max_local)
     window = Window.partitionBy("query_id").orderBy("distance", "base_id")
     ranked = found.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k)
@@ -238,7 +244,7 @@ def approximate_nearest(
 ) -> DataFrame:
     """Approximate form of ``nearest_to``: only rows sharing a hash bucket with the query are ranked.
 
-    Should the buckets hold fewer than ``k`` rows, the exact search answers instead.
+    Buckets that hold fewer than ``k`` rows give fewer; a larger ``bucket_length`` or more ``tables`` find more.
     """
     from pyspark.ml.feature import BucketedRandomProjectionLSH
     from pyspark.ml.functions import array_to_vector
@@ -249,8 +255,7 @@ def approximate_nearest(
         inputCol="_features", outputCol="_hashes", bucketLength=bucket_length, numHashTables=tables, seed=seed
     )
     near = lsh.fit(hashed).approxNearestNeighbors(hashed, Vectors.dense(list(vector)), k, distCol="distance")
-    near = near.drop("_features", "_hashes")
-    return near if near.count() == k else nearest_to(df, vector, k, id_column, column)
+    return near.drop("_features", "_hashes")
 
 
 def similarity_rows(

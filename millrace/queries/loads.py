@@ -92,6 +92,20 @@ def declared_schema_load(spark, folder):
     return spark.read.parquet(path)
 
 
+@query("""SELECT p_partkey, CASE WHEN p_size <= 40 THEN CAST(p_size AS INTEGER) END AS p_size,
+    CASE WHEN p_size > 40 THEN p_type END AS rejected_text FROM part""")
+def rejecting_load(spark, folder):
+    """Sizes as text, some of them no numbers: good rows are loaded, the others are kept with their text."""
+    size = F.when(F.col("p_size") > 40, F.col("p_type")).otherwise(F.col("p_size").cast("string"))
+    shown = table(spark, folder, "part").select("p_partkey", size.alias("p_size"))
+    loaded, rejected = S.conform_or_reject(shown, struct("p_partkey bigint, p_size int"))
+    path, aside = scratch(spark, "loaded"), scratch(spark, "rejected")
+    S.write_parquet(loaded.withColumn("rejected_text", F.lit(None).cast("string")), path)
+    no_size = F.lit(None).cast("int").alias("p_size")
+    S.write_parquet(rejected.select("p_partkey", no_size, F.col("p_size").alias("rejected_text")), aside)
+    return spark.read.parquet(path, aside)
+
+
 @query("""SELECT 'orders' AS table_name, count(*) AS row_count, CAST(6 AS BIGINT) AS column_count FROM orders
     UNION ALL SELECT 'lineitem', count(*), 11 FROM lineitem UNION ALL SELECT 'events', count(*), 6 FROM events""")
 def load_audit(spark, folder):

@@ -6,9 +6,11 @@ import datetime as dt
 import time
 import uuid
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import or_
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,12 +53,33 @@ def load_table(df: DataFrame, table: str, path: str | None = None) -> None:
     (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """The declared columns in order, cast; text that is no value of the type becomes null."""
+def _is_bad(field: T.StructField) -> Column:
+    """The column has a value, but none of the declared type."""
+    return F.col(field.name).isNotNull() & F.col(field.name).try_cast(field.dataType).isNull()
+
+
+def conform(df: DataFrame, schema: T.StructType, strict: bool = True) -> DataFrame:
+    """The declared columns in order, cast. A value that is none of the declared type fails the load; with
+    ``strict=False`` it becomes null, and ``conform_or_reject`` sets its row aside instead."""
     missing = [f.name for f in schema.fields if f.name not in df.columns]
     if missing:
         raise ValueError(f"columns missing from the input: {missing}")
-    return df.select([F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
+
+    def cast(field: T.StructField) -> Column:
+        value = F.col(field.name).try_cast(field.dataType)
+        if not strict:
+            return value
+        said = F.concat(F.lit(f"{field.name} is no {field.dataType.simpleString()}: "), F.col(field.name).cast("string"))
+        return F.when(_is_bad(field), F.raise_error(said)).otherwise(value)
+
+    return df.select([cast(f).alias(f.name) for f in schema.fields])
+
+
+def conform_or_reject(df: DataFrame, schema: T.StructType, bad: str = "bad_columns") -> tuple[DataFrame, DataFrame]:
+    """The rows that conform, cast, and the others as they came with the names of their bad columns."""
+    names = F.array_compact(F.array(*[F.when(_is_bad(f), F.lit(f.name)) for f in schema.fields]))
+    passed = ~reduce(or_, [_is_bad(f) for f in schema.fields])
+    return conform(df.filter(passed), schema, strict=False), df.withColumn(bad, names).filter(F.size(bad) > 0)
 
 
 def with_day(df: DataFrame, ts: str, day: str = CREATED_DAY) -> DataFrame:

@@ -22,9 +22,11 @@ def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("inferSchema", True).csv(path)
 
 
-def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Header row skipped, declared types, values that do not parse become null."""
-    return spark.read.option("header", True).option("enforceSchema", True).schema(schema).csv(path)
+def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType | str, strict: bool = True) -> DataFrame:
+    """Header row skipped, declared types. A value that does not parse fails the read of its column, or with
+    ``strict=False`` becomes null; text read by ``read_csv_text`` can go through ``conform_or_reject`` instead."""
+    reader = spark.read.option("header", True).option("enforceSchema", True).option("mode", "FAILFAST" if strict else "PERMISSIVE")
+    return reader.schema(schema).csv(path)
 
 
 def read_csv_renamed(spark: SparkSession, path: str, names: Sequence[str], inferred: bool = True) -> DataFrame:

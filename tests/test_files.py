@@ -18,7 +18,10 @@ def test_csv_scans(spark, tmp_path):
     (tmp_path / "a.csv").write_text("id,price,day\n1,2.5,2024-01-05\n2,x,\n")
     text = files.read_csv_text(spark, str(tmp_path))
     assert [f.dataType.simpleString() for f in text.schema] == ["string"] * 3
-    typed = files.read_csv_typed(spark, str(tmp_path), "id int, price double, day date")
+    declared = "id int, price double, day date"
+    with pytest.raises(Exception, match="FAILFAST"):
+        files.read_csv_typed(spark, str(tmp_path), declared).collect()
+    typed = files.read_csv_typed(spark, str(tmp_path), declared, strict=False)
     assert rows(typed) == [(1, 2.5, dt.date(2024, 1, 5)), (2, None, None)]
     (tmp_path / "b").mkdir()
     (tmp_path / "b" / "b.csv").write_text("id,price\n1,2.5\n2,3\n")
@@ -215,8 +218,17 @@ def test_tables_seed_dump_and_audit(spark, tmp_path):
 def test_conform_parses_and_reports_missing(spark):
     df = spark.createDataFrame([("u1", "2020-12-07T01:02:03Z"), ("u2", "soon")], "user_id string, created_at string")
     schema = struct("user_id string, created_at timestamp")
-    shown = S.conform(df, schema).select("user_id", F.col("created_at").cast("string"))
+    shown = S.conform(df, schema, strict=False).select("user_id", F.col("created_at").cast("string"))
     assert rows(shown) == [("u1", "2020-12-07 01:02:03"), ("u2", None)]
+    with pytest.raises(Exception, match="created_at is no timestamp: soon"):
+        S.conform(df, schema).collect()
+    assert S.conform(df.filter("user_id = 'u1'"), schema).count() == 1
+    nulls = df.withColumn("created_at", F.lit(None).cast("string"))
+    assert [r.created_at for r in S.conform(nulls, schema).collect()] == [None, None]
+    loaded, rejected = S.conform_or_reject(df, schema)
+    assert [r.user_id for r in loaded.collect()] == ["u1"] and loaded.schema["created_at"].dataType == schema["created_at"].dataType
+    assert rows(rejected) == [("u2", "soon", ["created_at"])]
+    assert [part.count() for part in S.conform_or_reject(nulls, schema)] == [2, 0]
     with pytest.raises(ValueError, match="email"):
         S.conform(df, commerce("users"))
 

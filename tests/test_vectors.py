@@ -60,6 +60,13 @@ def test_fewer_rows_than_asked_for(spark, base):
     assert R.nearest_for_each(queries.limit(0), few, 3).count() == 0
 
 
+@pytest.mark.parametrize("max_local", [2_000, 1])
+def test_repeated_query_ids_are_refused(spark, base, max_local):
+    queries = spark.createDataFrame([(1, [0.0] * 8), (1, [1.0] * 8)], "query_id int, embedding array<double>")
+    with pytest.raises(ValueError, match="repeated"):
+        R.nearest_for_each(queries, base, 3, max_local=max_local)
+
+
 def test_uneven_vectors_are_refused(spark):
     ragged = spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0])], "vec_id int, embedding array<double>").coalesce(1)
     queries = spark.createDataFrame([(1, [0.0, 0.0])], "query_id int, embedding array<double>")
