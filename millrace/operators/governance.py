@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterable, Mapping, Sequence
+import re
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,7 +35,10 @@ KEYWORDS = {
         "medical", "patient", "diagnosis", "disease", "medication", "prescription", "blood_type", "health",
     ],
 }
+RULES = {label: "|".join(words) for label, words in KEYWORDS.items()}  # patterns, in the same order
 SAMPLE_ROWS = 100
+# A declared model. Checks are found under either of two keys; one with parameters comes as its JSON text.
+DECLARED = "name string, columns array<struct<name string, tests array<string>, data_tests array<string>>>"
 
 CATALOGUE = (
     "table_catalog string, table_schema string, table_name string, column_name string, data_type string, "
@@ -68,19 +71,16 @@ def with_descriptions(columns: DataFrame, descriptions: DataFrame) -> DataFrame:
 
 def category_of(name: str) -> str | None:
     """Category of one column name, for planning a projection."""
-    name = name.lower()
-    if name in SKIP_NAMES:
-        return None
-    return next((c for c, words in KEYWORDS.items() if any(w in name for w in words)), None)
+    lowered = name.lower()
+    fitting = (label for label, pattern in RULES.items() if re.search(pattern, lowered))
+    return None if lowered in SKIP_NAMES else next(fitting, None)
 
 
 def category(name: Column) -> Column:
     """Category of column names held as data; null for harmless ones."""
     lowered = F.lower(name)
-    chain = F.when(lowered.isin(SKIP_NAMES), F.lit(None).cast("string"))
-    for label, words in KEYWORDS.items():
-        chain = chain.when(reduce(lambda a, b: a | b, [lowered.contains(w) for w in words]), label)
-    return chain
+    fitting = F.coalesce(*[F.when(lowered.rlike(pattern), label) for label, pattern in RULES.items()])
+    return F.when(~lowered.isin(SKIP_NAMES), fitting)
 
 
 def classify(columns: DataFrame) -> DataFrame:
@@ -106,7 +106,11 @@ def sample(df: DataFrame, order: Sequence[str] = (), rows: int = SAMPLE_ROWS) ->
 
 
 class DriftError(RuntimeError):
-    """A frozen schema or check set has changed."""
+    """A frozen schema or check set has changed; ``changes`` has every change."""
+
+    def __init__(self, message: str, changes: DataFrame):
+        super().__init__(message)
+        self.changes = changes
 
 
 def schema_drift(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -154,31 +158,27 @@ def require_same_checks(before: DataFrame, after: DataFrame) -> None:
 
 
 def _raise_on(changes: DataFrame, what: str) -> None:
-    shown = changes.limit(20).collect()
-    if shown:
-        raise DriftError(f"{what}: {[tuple(row) for row in shown]}")
+    counts = changes.groupBy("status").count().orderBy("status").collect()
+    if counts:
+        raise DriftError(f"{what}: {', '.join(f'{row[1]} {row[0]}' for row in counts)}", changes)
 
 
-def captured_checks(spark: SparkSession, models: Iterable[Mapping]) -> DataFrame:
-    """Checks declared on model columns, under either of the two keys in use."""
-    rows = []
-    for model in models:
-        for column in model.get("columns") or []:
-            declared = (column.get("tests") or []) + (column.get("data_tests") or [])
-            rows += [(model["name"], column["name"], _check_text(test)) for test in declared]
-    return spark.createDataFrame(rows, "model string, column string, test string")
+def _declared_columns(declared: DataFrame, text: str) -> DataFrame:
+    """``model, column``: a row per declared column with its ``name`` and checks, null for a model without columns."""
+    parsed = declared.select(F.from_json(text, DECLARED, {"mode": "FAILFAST"}).alias("model"))
+    return parsed.select(F.col("model.name").alias("model"), F.explode_outer("model.columns").alias("column"))
 
 
-def captured_schema(spark: SparkSession, models: Iterable[Mapping]) -> DataFrame:
-    rows = []
-    for model in models:
-        columns = [column["name"] for column in model.get("columns") or []]
-        rows += [(model["name"], column) for column in columns or [None]]
-    return spark.createDataFrame(rows, "model string, column string")
+def captured_schema(declared: DataFrame, text: str = "value") -> DataFrame:
+    """``model, column`` of declared models, one JSON object in each row of ``text``."""
+    return _declared_columns(declared, text).select("model", F.col("column.name").alias("column"))
 
 
-def _check_text(test: object) -> str:
-    return test if isinstance(test, str) else json.dumps(test, sort_keys=True)
+def captured_checks(declared: DataFrame, text: str = "value") -> DataFrame:
+    """``model, column, test`` of declared models; a test with parameters is JSON text with its keys in order."""
+    both = F.concat(*[F.coalesce(f"column.{key}", F.array().cast("array<string>")) for key in ("tests", "data_tests")])
+    tests = _declared_columns(declared, text).select("model", F.col("column.name").alias("column"), F.explode(both).alias("test"))
+    return tests.withColumn("test", F.when(F.col("test").startswith("{"), F.to_json(F.parse_json("test"))).otherwise(F.col("test")))
 
 
 def run_report(steps: Sequence[tuple[str, DataFrame | None]]) -> DataFrame:

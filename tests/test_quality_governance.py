@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -140,27 +141,41 @@ MODELS = [
 ]
 
 
+def declared(spark, models):
+    return spark.createDataFrame([(json.dumps(model),) for model in models], "value string")
+
+
+def test_unreadable_models_fail(spark):
+    broken = spark.createDataFrame([('{"name": "m", "columns": 7}',)], "value string")
+    with pytest.raises(Exception, match="FAILFAST|MALFORMED"):
+        G.captured_schema(broken).collect()
+
+
 def test_schema_drift_and_freeze(spark):
-    before = G.captured_schema(spark, MODELS)
-    grown = G.captured_schema(spark, [*MODELS, {"name": "new", "columns": [{"name": "a"}, {"name": "b"}]}])
+    before = G.captured_schema(declared(spark, MODELS))
+    grown = G.captured_schema(declared(spark, [*MODELS, {"name": "new", "columns": [{"name": "a"}, {"name": "b"}]}]))
     drift = {r["level"]: tuple(r)[1:] for r in G.schema_drift(before, grown).collect()}
     assert drift == {"model": (2, 3, 1, 0), "column": (3, 5, 2, 0)}
     assert rows(G.changed_columns(before, grown)) == [("new", "a", "added"), ("new", "b", "added")]
     G.require_kept_schema(before, grown)
-    with pytest.raises(G.DriftError, match="removed"):
+    with pytest.raises(G.DriftError, match="removed: 2 removed") as lost:
         G.require_kept_schema(grown, before)
+    assert rows(lost.value.changes) == [("new", "a", "removed"), ("new", "b", "removed")]
     same = {r["level"]: tuple(r)[1:] for r in G.schema_drift(before, before).collect()}
     assert same == {"model": (2, 2, 0, 0), "column": (3, 3, 0, 0)}
 
 
 def test_check_drift_and_freeze(spark):
-    before = G.captured_checks(spark, MODELS)
+    before = G.captured_checks(declared(spark, MODELS))
     assert rows(before) == [("users", "id", "not_null"), ("users", "id", "unique")]
     typed = {"expect_type": {"column_type": "string"}}
-    later = G.captured_checks(spark, [{"name": "users", "columns": [{"name": "id", "tests": ["not_null", typed]}]}])
+    later = G.captured_checks(declared(spark, [{"name": "users", "columns": [{"name": "id", "tests": ["not_null", typed]}]}]))
     assert {(r["test"], r["status"]) for r in G.changed_checks(before, later).collect()} == {
-        ("unique", "removed"), ('{"expect_type": {"column_type": "string"}}', "added")
+        ("unique", "removed"), ('{"expect_type":{"column_type":"string"}}', "added")
     }
+    orders = [[{"range": {"min": 1, "max": 2}}], [{"range": {"max": 2, "min": 1}}]]
+    one, other = (G.captured_checks(declared(spark, [{"name": "m", "columns": [{"name": "c", "tests": t}]}])) for t in orders)
+    G.require_same_checks(one, other)
     G.require_same_checks(before, before)
     with pytest.raises(G.DriftError):
         G.require_same_checks(before, later)
