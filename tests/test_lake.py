@@ -9,145 +9,143 @@ from millrace.operators import history as H
 from millrace.operators.lake import ConstraintError, LakeTable
 from millrace.session import scratch
 
-SCHEMA = T.StructType(
-    [
-        T.StructField("id", T.IntegerType(), False),
-        T.StructField("category", T.StringType(), False),
-        T.StructField("amount", T.DoubleType(), False),
-        T.StructField("created_at", T.TimestampNTZType(), False),
-        T.StructField("updated_at", T.TimestampNTZType(), True),
-    ]
-)
-SALES = [
-    (1, "electronics", 299.99, dt.datetime(2025, 5, 1), None),
-    (2, "clothing", 79.99, dt.datetime(2025, 5, 30), None),
-    (3, "groceries", 45.50, dt.datetime(2025, 5, 30), None),
-    (4, "electronics", 999.99, dt.datetime(2025, 6, 2), None),
-    (5, "clothing", 120.00, dt.datetime(2025, 6, 2), None),
-]
-COLUMNS = "id int, category string, amount double, created_at timestamp_ntz, updated_at timestamp_ntz"
+COLUMNS = "parcel int, depot string, weight double, sent_at timestamp_ntz, received_at timestamp_ntz"
+TYPES = [T.IntegerType(), T.StringType(), T.DoubleType(), T.TimestampNTZType(), T.TimestampNTZType()]
+NAMES = [column.split()[0] for column in COLUMNS.split(", ")]
+SCHEMA = T.StructType([T.StructField(name, kind, name == "received_at") for name, kind in zip(NAMES, TYPES)])
+DEPOTS = ["north", "south", "east"]
+
+
+def sent(day):
+    return dt.datetime(2023, 11, day)
+
+
+# Parcels 1 and 2 are sent on the 1st, 3 to 5 on the 5th, 6 to 8 on the 9th; every third one is of the same depot.
+PARCELS = [(n, DEPOTS[n % 3], n * 1.5, sent(1 + n // 3 * 4), None) for n in range(1, 9)]
+ALL = [1, 2, 3, 4, 5, 6, 7, 8]
 
 
 @pytest.fixture
-def sales(spark):
-    lake = LakeTable.create(spark, scratch(spark, "sales"), SCHEMA, ["id"], "created_at")
-    lake.upsert(spark.createDataFrame(SALES, COLUMNS))
+def parcels(spark):
+    lake = LakeTable.create(spark, scratch(spark, "parcels"), SCHEMA, ["parcel"], "sent_at")
+    lake.upsert(spark.createDataFrame(PARCELS, COLUMNS))
     return lake
 
 
 def ids(df):
-    return sorted(row["id"] for row in df.collect())
+    return sorted(row["parcel"] for row in df.collect())
 
 
-def test_scans(sales):
-    assert ids(sales.scan(F.col("category").startswith("elec"))) == [1, 4]
-    assert ids(sales.scan("category = 'clothing' AND amount > 80")) == [5]
-    assert [tuple(r) for r in sales.scan("id = 3", ["category", "amount"]).collect()] == [("groceries", 45.5)]
-    assert ids(sales.scan(F.col("amount").isNull())) == []
-    assert ids(sales.scan(F.col("category").isin("clothing", "groceries"))) == [2, 3, 5]
-    assert ids(sales.scan_between(dt.datetime(2025, 5, 30), dt.datetime(2025, 6, 2))) == [2, 3]
-    assert sales.scan().columns == SCHEMA.names
+def per_day(lake):
+    return {row["created_at_day"].day: row["record_count"] for row in lake.partitions().collect()}
 
 
-def test_scan_between_prunes_days(sales):
-    plan = sales.scan_between(dt.datetime(2025, 5, 30), dt.datetime(2025, 6, 1))._jdf.queryExecution().toString()
+def test_scans(parcels):
+    assert ids(parcels.scan(F.col("depot").endswith("th"))) == [1, 3, 4, 6, 7]
+    assert ids(parcels.scan("depot = 'east' AND weight > 5")) == [5, 8]
+    assert [tuple(r) for r in parcels.scan("parcel = 6", ["weight", "depot"]).collect()] == [(9.0, "north")]
+    assert ids(parcels.scan(F.col("received_at").isNotNull())) == []
+    assert ids(parcels.scan(F.col("weight").between(3, 6))) == [2, 3, 4]
+    assert ids(parcels.scan_between(sent(2), sent(9))) == [3, 4, 5]
+    assert parcels.scan().columns == SCHEMA.names
+
+
+def test_scan_between_prunes_days(parcels):
+    plan = parcels.scan_between(sent(5), sent(6))._jdf.queryExecution().toString()
     assert "created_at_day" in plan.split("PartitionFilters: [")[1].split("]")[0]
 
 
-def test_update_then_delete(sales):
-    now = dt.datetime(2025, 7, 1)
-    sales.update(F.col("id") == 4, {"updated_at": moment(now)})
-    sales.delete("id = 1")
-    left = {r["id"]: r["updated_at"] for r in sales.scan().collect()}
-    assert left == {2: None, 3: None, 4: now, 5: None}
-    days = {str(r["created_at_day"]): r["record_count"] for r in sales.partitions().collect()}
-    assert days == {"2025-05-30": 2, "2025-06-02": 2}  # the emptied first of May is gone
+def test_update_then_delete(parcels):
+    now = sent(30)
+    parcels.update("depot = 'south'", {"received_at": moment(now)})
+    parcels.delete("parcel < 3")
+    left = {r["parcel"]: r["received_at"] for r in parcels.scan().collect()}
+    assert left == {n: now if n in (4, 7) else None for n in range(3, 9)}
+    assert per_day(parcels) == {5: 3, 9: 3}  # the emptied first of the month is gone
 
 
-def test_upsert_twice_is_upsert_once(spark, sales):
-    change = spark.createDataFrame(
-        [(2, "clothing", 70.0, dt.datetime(2025, 5, 30), None), (6, "toys", 5.0, dt.datetime(2025, 6, 3), None)], COLUMNS
-    )
-    sales.upsert(change)
-    once = sorted(map(tuple, sales.scan().collect()))
-    sales.upsert(change)
-    assert sorted(map(tuple, sales.scan().collect())) == once
-    assert [r["days"] for r in sales.history().collect()][-2:] == [2, 0]
-    assert len(once) == 6 and once[1][2] == 70.0
+def test_upsert_twice_is_upsert_once(spark, parcels):
+    change = spark.createDataFrame([(3, "north", 0.25, sent(5), None), (20, "west", 2.0, sent(17), None)], COLUMNS)
+    parcels.upsert(change)
+    once = sorted(map(tuple, parcels.scan().collect()))
+    parcels.upsert(change)
+    assert sorted(map(tuple, parcels.scan().collect())) == once
+    assert [r["days"] for r in parcels.history().collect()][-2:] == [2, 0]
+    assert [row[0] for row in once] == [*ALL, 20] and once[2][2] == 0.25
 
 
-def test_upsert_moves_a_row_to_its_new_day(spark, sales):
-    sales.upsert(spark.createDataFrame([(1, "electronics", 1.0, dt.datetime(2025, 6, 2), None)], COLUMNS))
-    assert ids(sales.scan()) == [1, 2, 3, 4, 5]
-    assert {str(r[0]): r[1] for r in sales.partitions().collect()} == {"2025-05-30": 2, "2025-06-02": 3}
+def test_upsert_moves_a_row_to_its_new_day(spark, parcels):
+    parcels.upsert(spark.createDataFrame([(2, "east", 3.0, sent(9), None)], COLUMNS))
+    assert ids(parcels.scan()) == ALL
+    assert per_day(parcels) == {1: 1, 5: 3, 9: 4}
 
 
-def test_overwrite_where(spark, sales):
-    fresh = spark.createDataFrame([(9, "clothing", 1.0, dt.datetime(2025, 5, 1), None)], COLUMNS)
-    sales.overwrite(fresh, "category = 'clothing'")
-    assert ids(sales.scan()) == [1, 3, 4, 9]
+def test_overwrite_where(spark, parcels):
+    parcels.overwrite(spark.createDataFrame([(30, "north", 1.0, sent(1), None)], COLUMNS), "depot = 'north'")
+    assert ids(parcels.scan()) == [1, 2, 4, 5, 7, 8, 30]
 
 
-def test_null_conditions_delete_nothing(sales):
-    sales.delete("updated_at > TIMESTAMP_NTZ'2000-01-01'")
-    assert ids(sales.scan()) == [1, 2, 3, 4, 5]
-    assert sales.history().collect()[-1]["days"] == 0
+def test_null_conditions_delete_nothing(parcels):
+    parcels.delete("received_at > TIMESTAMP_NTZ'2000-01-01'")
+    assert ids(parcels.scan()) == ALL
+    assert parcels.history().collect()[-1]["days"] == 0
 
 
-def test_constraints(spark, sales):
-    twice = spark.createDataFrame([SALES[0], SALES[0]], COLUMNS)
+def test_constraints(spark, parcels):
     with pytest.raises(ConstraintError, match="not unique"):
-        sales.upsert(twice)
-    hole = spark.createDataFrame([(7, None, 1.0, dt.datetime(2025, 6, 2), None)], COLUMNS)
-    with pytest.raises(ConstraintError, match="category"):
-        sales.upsert(hole)
+        parcels.upsert(spark.createDataFrame([PARCELS[4], PARCELS[4]], COLUMNS))
+    hole = spark.createDataFrame([(40, None, 1.0, sent(9), None)], COLUMNS)
+    with pytest.raises(ConstraintError, match="depot"):
+        parcels.upsert(hole)
     with pytest.raises(ConstraintError):
-        sales.append(hole)
-    assert ids(sales.scan()) == [1, 2, 3, 4, 5]
+        parcels.append(hole)
+    assert ids(parcels.scan()) == ALL
     with pytest.raises(ValueError, match="keys or days"):
-        sales.update("id = 1", {"created_at": F.lit(None)})
-
-
-def test_columns_come_and_go(spark, sales):
-    sales.add_column("email", "string")
-    assert {r["email"] for r in sales.scan().collect()} == {None}
-    sales.update("id = 2", {"email": F.lit("a@b.c")})
-    again = LakeTable.create(spark, sales.root, SCHEMA, ["id"], "created_at")
-    assert again.scan("email is not null").count() == 1
-    again.drop_column("email")
-    assert "email" not in again.scan().columns
-    again.add_column("email", "string")
-    assert again.scan("email is not null").count() == 0  # dropped values do not come back
+        parcels.update("parcel = 1", {"sent_at": F.lit(None)})
+
+
+def test_columns_come_and_go(spark, parcels):
+    parcels.add_column("note", "string")
+    assert {r["note"] for r in parcels.scan().collect()} == {None}
+    parcels.update("parcel = 7", {"note": F.lit("fragile")})
+    again = LakeTable.create(spark, parcels.root, SCHEMA, ["parcel"], "sent_at")
+    assert again.scan("note is not null").count() == 1
+    again.drop_column("note")
+    assert "note" not in again.scan().columns
+    again.add_column("note", "string")
+    assert again.scan("note is not null").count() == 0  # dropped values do not come back
     with pytest.raises(ValueError, match="exists"):
-        again.add_column("email", "string")
+        again.add_column("note", "string")
     with pytest.raises(ValueError, match="identifies"):
-        again.drop_column("id")
+        again.drop_column("parcel")
+
+
+UNRECEIVED = COLUMNS.rsplit(",", 1)[0]
 
 
-def test_append_refuses_repeated_keys(spark, sales):
-    names, day = COLUMNS.rsplit(",", 1)[0], dt.datetime(2025, 6, 9)
-    for given in ([(8, "toys", 1.0, day), (8, "toys", 2.0, day)], [(8, "toys", 1.0, day), (5, "toys", 1.0, day)]):
+def test_append_refuses_repeated_keys(spark, parcels):
+    for given in ([(50, "west", 1.0, sent(20)), (50, "west", 2.0, sent(20))], [(50, "west", 1.0, sent(20)), (5, "west", 1.0, sent(20))]):
         with pytest.raises(ConstraintError, match="key"):
-            sales.append(spark.createDataFrame(given, names))
-    assert ids(sales.scan()) == [1, 2, 3, 4, 5] and sales.version == 1
+            parcels.append(spark.createDataFrame(given, UNRECEIVED))
+    assert ids(parcels.scan()) == ALL and parcels.version == 1
 
 
-def test_append_and_history(spark, sales):
-    sales.append(spark.createDataFrame([(8, "toys", 1.0, dt.datetime(2025, 6, 9))], COLUMNS.rsplit(",", 1)[0]))
-    assert ids(sales.scan()) == [1, 2, 3, 4, 5, 8]
-    assert [(r["version"], r["operation"], r["days"]) for r in sales.history().collect()] == [
+def test_append_and_history(spark, parcels):
+    parcels.append(spark.createDataFrame([(50, "west", 1.0, sent(20))], UNRECEIVED))
+    assert ids(parcels.scan()) == [*ALL, 50]
+    assert [(r["version"], r["operation"], r["days"]) for r in parcels.history().collect()] == [
         (0, "create", 0), (1, "upsert", 3), (2, "append", 0)
     ]
 
 
 def test_a_table_keyed_by_text_without_rows(spark):
-    schema = T.StructType([T.StructField("title", T.StringType(), False), T.StructField("at", T.TimestampNTZType(), False)])
-    books = LakeTable.create(spark, scratch(spark, "books"), schema, ["title"], "at")
-    assert books.scan().count() == 0
-    rows = [(t, dt.datetime(2025, 1, 1)) for t in ("The Lord of the Rings", "Pride and Prejudice", "Moby Dick")]
+    schema = T.StructType([T.StructField("code", T.StringType(), False), T.StructField("at", T.TimestampNTZType(), False)])
+    codes = LakeTable.create(spark, scratch(spark, "codes"), schema, ["code"], "at")
+    assert codes.scan().count() == 0
+    rows = [(f"{kind}-{n}", sent(n)) for kind in "ab" for n in (3, 4)]
     for _ in range(2):
-        books.upsert(spark.createDataFrame(rows, "title string, at timestamp_ntz"))
-    assert books.scan().count() == 3
+        codes.upsert(spark.createDataFrame(rows, "code string, at timestamp_ntz"))
+    assert codes.scan().count() == 4
 
 
 # -- history ------------------------------------------------------------------------------------
