@@ -296,5 +296,6 @@ def retrieval_context(matches: DataFrame, base: DataFrame, base_id: str, text: s
 def prompt(contexts: DataFrame, questions: DataFrame, query_id: str, question: str) -> DataFrame:
     """The question template filled with each question's context."""
     asked = questions.select(F.col(query_id).alias("query_id"), F.col(question).alias("question"))
+    # Fixed value: the wording of the prompt.
     text = F.format_string("\nContext:\n%s\n\nQuestion:\n%s\n", "context", "question")
     return asked.join(contexts, "query_id").select("query_id", text.alias("prompt"))

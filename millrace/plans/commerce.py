@@ -292,6 +292,7 @@ def monthly_summary(project: Project, state: str, year: int, month: int, k: int
     names = F.transform(F.array_sort(F.collect_list(ranked)), lambda pair: pair["product_name"])
     total = F.coalesce(F.max(F.when(F.col("is_total") == 1, F.col("record_count"))), F.lit(0))
     place = state.replace("%", "%%")
+    # Fixed value: the wording of the sentence.
     sentence = f"In {place}, the most ordered houseplants are %s. In %s, there were %d orders."
     when = month_name(F.make_date(F.lit(year), F.lit(month), F.lit(1)))
     return best.agg(F.format_string(sentence, F.concat_ws(", ", names), when, total).alias("text"))
