@@ -276,9 +276,10 @@ def similarity_rows(
         scale = np.sqrt((rows**2).sum(axis=1))[:, None] * lengths[None, :]
         with np.errstate(divide="ignore", invalid="ignore"):
             values = (rows @ matrix.T) / scale
-        return pd.Series([[None if np.isnan(x) else x for x in row] for row in values])
+        return pd.Series(list(values))
 
-    return df.filter(F.col(column).isNotNull()).withColumn(name, similarities(F.col(column)))
+    found = F.transform(similarities(F.col(column)), lambda x: F.nullif(x, F.lit(float("nan"))))
+    return df.filter(F.col(column).isNotNull()).withColumn(name, found)
 
 
 # -- retrieval ----------------------------------------------------------------------------------
