@@ -20,7 +20,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import Workspace, ship
+from millrace.llm.common import fresh, ship
 from millrace.llm.shingles import mix, shingle_groups, shingle_sets
 
 CONTAINMENT = Fraction(3, 4)
@@ -100,24 +100,28 @@ def _blocks(items: DataFrame, item_id: str, text: str) -> Iterator[tuple[list[in
             yield [row["item_id"] for row in rows], [np.frombuffer(row["items"], np.uint64) for row in rows]
 
 
+def _matches(items: _Items, texts: pa.Array, containment: Fraction) -> Iterator[tuple[int, int, int, int]]:
+    """For each text that contains an item: its row, the item's position, the item's shingles, those shared."""
+    for row, shingles, sizes in shingle_groups(texts):
+        ends = np.cumsum(sizes)
+        own: dict[int, np.ndarray] = {}
+        for k, item in sorted(items.candidates(shingles, sizes)):
+            if k not in own:
+                own[k] = np.unique(shingles[ends[k] - sizes[k] : ends[k]])
+            wanted = items.sets[item]
+            at = np.minimum(np.searchsorted(own[k], wanted), len(own[k]) - 1)
+            both = int((own[k][at] == wanted).sum())
+            if both * containment.denominator >= len(wanted) * containment.numerator:
+                yield row + k, item, len(wanted), both
+
+
 def _search(docs: DataFrame, shared: Broadcast, containment: Fraction) -> DataFrame:
     """One pass over the documents for one block of items."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = _Items(*shared.value)
         for batch in batches:
-            out: list[tuple] = []
-            for row, shingles, sizes in shingle_groups(batch.column("text")):
-                ends = np.cumsum(sizes)
-                own: dict[int, np.ndarray] = {}
-                for k, item in sorted(items.candidates(shingles, sizes)):
-                    if k not in own:
-                        own[k] = np.unique(shingles[ends[k] - sizes[k] : ends[k]])
-                    wanted = items.sets[item]
-                    at = np.minimum(np.searchsorted(own[k], wanted), len(own[k]) - 1)
-                    both = int((own[k][at] == wanted).sum())
-                    if both * containment.denominator >= len(wanted) * containment.numerator:
-                        out.append((row + k, items.ids[item], len(wanted), both))
+            out = [(row, items.ids[item], size, both) for row, item, size, both in _matches(items, batch.column("text"), containment)]
             if out:
                 rows, ids, sizes, both = (np.array(column, np.int64) for column in zip(*out))
                 columns = [batch.column("doc_id").take(pa.array(rows)), pa.array(ids), pa.array(sizes), pa.array(both)]
@@ -126,6 +130,19 @@ def _search(docs: DataFrame, shared: Broadcast, containment: Fraction) -> DataFr
     return docs.mapInArrow(search, "doc_id long, item_id long, n_item long, n_shared long")
 
 
+def _clean(rows: DataFrame, texts: str, shared: Broadcast, containment: Fraction) -> DataFrame:
+    """The rows whose ``texts`` contain no item of one block."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items = _Items(*shared.value)
+        for batch in batches:
+            clean = np.ones(batch.num_rows, bool)
+            clean[[row for row, *_ in _matches(items, batch.column(texts), containment)]] = False
+            yield batch.filter(pa.array(clean))
+
+    return rows.mapInArrow(keep, rows.schema)
+
+
 def find_leaks(
     docs: DataFrame, benchmark: DataFrame, containment: Fraction = CONTAINMENT,
     doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text",
@@ -153,9 +170,11 @@ def find_leaks(
 def without_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without those that contain a benchmark item, all columns as they were.
 
-    A row stays if no row of its doc_id contains an item; rows with a null doc_id are judged together, too.
+    Each row is judged by its own text, whatever its ``doc_id``: other rows with an equal or a null one stay. Rows are
+    filtered where they are, in one pass for each block of items; nothing is joined.
     """
-    with Workspace(docs.sparkSession, "leaks") as work:
-        found = find_leaks(docs, benchmark, doc_id=doc_id, text=text)
-        leaks = work.result(found.select(F.col("doc_id").alias("leak_id")).distinct())
-    return docs.join(leaks, F.col(doc_id).cast("long").eqNullSafe(F.col("leak_id")), "left_anti")
+    texts = fresh(docs, "leak_text")
+    rows = docs.select("*", F.col(text).cast("string").alias(texts))
+    for block in _blocks(benchmark, "item_id", "text"):
+        rows = _clean(rows, texts, docs.sparkSession.sparkContext.broadcast(block), CONTAINMENT)
+    return rows.drop(texts)
