@@ -8,9 +8,16 @@ different values have different ones. Formats and their domains:
   permuted and the check digit is computed anew;
 * telephone numbers: area code and seven digits, written with brackets, blanks, dots or hyphens, +1 before or not;
   the ten digits are permuted;
+* international telephone numbers: + and an assigned country code, then ten digits for +1 and +7 and 6 to 12 for the
+  others, at most one of blank, dot, slash or hyphen between them, brackets allowed; code and a "(0)" behind it stay,
+  the other digits are permuted among those of their number. Digits that follow a number after one blank count to it
+  if the length allows, unless a date, an address or a number of another format begins there;
 * social security numbers: 3-2-4 digits with an area of 001 to 899 but 666 and no part zero;
 * IPv4 addresses: four numbers up to 255;
-* dates from 1700 to 2099, as year-month-day or month/day/year, that exist; the days of those 400 years are permuted;
+* dates from 1700 to 2099 that exist, as year-month-day (a time may follow after T), month/day/year, month-day-year or
+  day.month.year; the days of those 400 years are permuted, so that a day has one pseudonym in all these forms;
+* dates as day/month/year or day-month-year that cannot be read month first; the days from the 13th of a month on are
+  permuted among themselves, so that a pseudonym cannot be read month first either;
 * e-mail addresses: the letters and the digits before the @ are permuted, each among strings of their length.
 
 Everything is expressions on a text's own row: nothing moves between tasks.
@@ -30,18 +37,32 @@ ROUNDS = 10
 CHUNK = 13  # letters of an address that are permuted together: 26 ** 13 fits a long
 
 _EMAIL = r"(?<![\p{L}0-9._%+-])[\p{L}0-9][\p{L}0-9._%+-]{0,63}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
-_DATE = r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4})"
+_DATE = r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}(?:/[0-9]{1,2}/|-[0-9]{1,2}-|\.[0-9]{1,2}\.)[0-9]{4})"
+_DATED = (  # a date where it stands: an ISO one may go on with T and a time, a dotted one is no part of a longer number
+    r"(?:(?<![/-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}(?![/-])(?=[Tt][0-9]|(?![0-9A-Za-z]))"
+    r"|[0-9]{1,2}(?:/[0-9]{1,2}/|-[0-9]{1,2}-)[0-9]{4}(?![/0-9A-Za-z-]))"
+    r"|(?<![/.-])[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}(?![/0-9A-Za-z-]|\.[0-9]))"
+)
 _SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
 _PHONE = r"(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
 _IP = r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}"
 _CARD = r"(?:[0-9]{13,19}|[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{4}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})"
+_COUNTRY = (  # assigned country codes of two and three digits; none begins another
+    r"(?:2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|21[1-368]|2[2346][0-9]|25[0-8]|29[01789]|35[0-9]|37[0-9]"
+    r"|38[0-35-79]|42[013]|50[0-9]|59[0-9]|67[02-9]|68[0-35-9]|69[0-2]|80[08]|85[02356]|87[08]|88[0-368]|96[0-8]"
+    r"|97[0-79]|99[2-68])"
+)
+_OTHER = rf"(?:{_DATED}|(?:{_SSN}|{_PHONE}|{_CARD})(?![0-9A-Za-z])|{_IP}(?!\.?[0-9A-Za-z]))"
+_MORE = rf"(?:(?:[ \xA0](?!{_OTHER})|[./-])?\(?[0-9]\)?)"  # one digit of a number and what stands before it
+_CODE = rf"\+(?:[17]|{_COUNTRY})(?:[ \xA0.-]?\(0\))?"
+_WORLD = rf"(?:\+[17](?:[ \xA0.-]?\(0\))?{_MORE}{{10}}|\+{_COUNTRY}(?:[ \xA0.-]?\(0\))?{_MORE}{{6,12}})"
 NUMBERS = (
-    rf"(?=[0-9+(])(?<![0-9A-Za-z])(?:(?<![/-]){_DATE}(?![/-])|(?<!-){_SSN}(?!-)|{_PHONE}"
-    rf"|(?<!\.){_IP}(?!\.[0-9])|{_CARD})(?![0-9A-Za-z])"
+    rf"(?=[0-9+(])(?<![0-9A-Za-z])(?:{_DATED}|(?:(?<!-){_SSN}(?!-)|{_PHONE}|{_WORLD}"
+    rf"|(?<!\.){_IP}(?!\.[0-9])|{_CARD})(?![0-9A-Za-z]))"
 )
 ALL = f"(?:{_EMAIL}|{NUMBERS})"
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
-_FIRST_DAY = "1700-01-01"  # the 400 years from this day have 189 * 773 days
+_FIRST_DAY = "1700-01-01"  # the 400 years from this day have 189 * 773 days, 9 * 9833 of them from a month's 13th on
 
 
 def _long(value: int) -> Column:
@@ -159,6 +180,12 @@ def _phone(match: Column, key: str) -> Column:
     return _let(F.concat(country, _permuted_digits(body, "phone", key)), lambda new: _filled(match, new))
 
 
+def _world_phone(match: Column, key: str) -> Column:
+    code = F.regexp_extract(match, f"^{_CODE}", 0)
+    rest = F.substring(match, F.length(code) + 1, F.length(match))
+    return F.concat(code, _let(_permuted_digits(_digits(rest), "phone", key), lambda new: _filled(rest, new)))
+
+
 def _ssn(match: Column, key: str) -> Column:
     area, group, serial = (F.substring(match, at, size).cast("long") for at, size in ((1, 3), (5, 2), (8, 4)))
     valid = (area > 0) & (area != 666) & (area < 900) & (group > 0) & (serial > 0)
@@ -187,25 +214,52 @@ def _ip(match: Column, key: str) -> Column:
     return F.when(valid, _let(permuted(number, _long(65536), _long(65536), "ip", key), written))
 
 
+def _late_days(months: Column) -> Column:
+    """Days from a 13th on in so many months from ``_FIRST_DAY``."""
+    first = F.lit(_FIRST_DAY).cast("date")
+    return (F.datediff(F.add_months(first, months.cast("int")), first) - months * 12).cast("long")
+
+
+def _late_day(new: Column) -> Column:
+    """The day that is preceded by ``new`` days from a 13th on."""
+    about = _div(new * 4800, _long(9 * 9833))  # the month, or one beside it
+    near = F.filter(F.transform(F.array(*map(_long, (1, 0, -1))), lambda k: about + k), lambda m: (m >= 0) & (_late_days(m) <= new))
+    first = F.lit(_FIRST_DAY).cast("date")
+    return _let(
+        F.element_at(near, 1), lambda m: F.date_add(F.add_months(first, m.cast("int")), (new - _late_days(m) + 12).cast("int"))
+    )
+
+
 def _date(match: Column, key: str) -> Column:
-    iso = match.contains("-")
-    parts = F.split(match, "[/-]")
+    parts = F.split(match, "[./-]")
+    iso, dotted = F.length(parts[0]) == 4, match.contains(".")
+    month_first = ~iso & ~dotted & (parts[0].cast("int") <= 12)  # a date that can be read both ways is read month first
     year, month, day = (
-        F.when(iso, F.element_at(parts, a)).otherwise(F.element_at(parts, b)).cast("int") for a, b in ((1, 3), (2, 1), (3, 2))
+        F.when(iso, parts[a]).when(month_first, parts[b]).otherwise(parts[c]).cast("int")
+        for a, b, c in ((0, 2, 2), (1, 0, 1), (2, 1, 0))
     )
     leap = ((year % 4 == 0) & (year % 100 != 0)) | (year % 400 == 0)
     last = F.when(month == 2, F.when(leap, 29).otherwise(28)).when(month.isin(4, 6, 9, 11), 30).otherwise(31)
     valid = year.between(1700, 2099) & month.between(1, 12) & (day >= 1) & (day <= last)
-    number = F.datediff(F.make_date(year, month, day), F.lit(_FIRST_DAY).cast("date")).cast("long")
+    first = F.lit(_FIRST_DAY).cast("date")
+    number = F.datediff(F.make_date(year, month, day), first).cast("long")
+    mark = F.when(dotted, ".").when(match.contains("/"), "/").otherwise("-")
 
     def written(new: Column) -> Column:
-        text = F.date_add(F.lit(_FIRST_DAY).cast("date"), new.cast("int")).cast("string")
+        text = new.cast("string")
         month, day = F.substring(text, 6, 2), F.substring(text, 9, 2)
         short = F.length(match) < 10
         month, day = (F.when(short, x.cast("int").cast("string")).otherwise(x) for x in (month, day))
-        return F.when(iso, text).otherwise(F.concat_ws("/", month, day, F.substring(text, 1, 4)))
+        front = F.when(month_first, F.concat(month, mark, day)).otherwise(F.concat(day, mark, month))
+        return F.when(iso, text).otherwise(F.concat(front, mark, F.substring(text, 1, 4)))
+
+    def any_day(new: Column) -> Column:
+        return written(F.date_add(first, new.cast("int")))
 
-    return F.when(valid, _let(permuted(number, _long(189), _long(773), "date", key), written))
+    late = number - ((year - 1700) * 12 + month) * 12
+    of_all = _let(permuted(number, _long(189), _long(773), "date", key), any_day)
+    of_late = _let(permuted(late, _long(9), _long(9833), "late date", key), lambda new: _let(_late_day(new), written))
+    return F.when(valid, F.when(iso | dotted | month_first, of_all).otherwise(of_late))
 
 
 def _email(match: Column, key: str) -> Column:
@@ -243,6 +297,7 @@ def pseudonym(match: Column, key: str = KEY) -> Column:
         ("date", match.rlike(f"^{_DATE}$"), _date),
         ("ssn", match.rlike(f"^{_SSN}$"), _ssn),
         ("phone", match.rlike(f"^{_PHONE}$"), _phone),
+        ("phone", match.startswith("+"), _world_phone),
         ("ip", match.rlike(f"^{_IP}$"), _ip),
         ("card", F.lit(True), _card),
     ]
