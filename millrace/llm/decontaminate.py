@@ -1,6 +1,7 @@
 """Benchmark items found inside documents by MinHash containment search, partitioned by size.
 
-An item is short and a document may be long, so the similarity of the two whole sets tells little. Items are put in
+An item is short and a document may be long, so the similarity of the two whole sets tells little. Items of fewer than
+``FEW`` shingles are candidates wherever one of their shingles occurs; none is missed. The others are put in
 partitions by the number of their shingles, each up to twice as large as the one before. For each partition every
 document is cut into windows of twice the partition's largest size, each overlapping the next by half, so that a passage
 of that size lies whole in a window. That turns the wanted containment into a similarity of item and window of
@@ -25,7 +26,8 @@ from millrace.llm.shingles import mix, shingle_groups, shingle_sets
 
 CONTAINMENT = Fraction(3, 4)
 HASHES = 64
-SMALLEST = 8  # shingles up to which items share the first partition
+FEW = 3  # items of fewer shingles are looked up by each of them: in a window of 16 they are too small a share
+SMALLEST = 8  # shingles up to which the other items share the first partition
 BLOCK_SHINGLES = 1 << 21  # item shingles that a task holds at once, about; more items take more passes
 HINTS = 1 << 18
 
@@ -35,15 +37,22 @@ FACTORS = mix(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D1
 
 
 class _Items:
-    """The items of one pass: their shingle sets, and by partition the MinHash values, sorted for each hash."""
+    """The items of one pass: their shingle sets, the sorted shingles of those with few, and by partition of the others
+    the MinHash values, sorted for each hash."""
 
     def __init__(self, ids: list[int], sets: list[np.ndarray]):
         self.ids, self.sets = np.array(ids, np.int64), sets
         sizes = np.array([len(found) for found in sets])
         parts = np.maximum(0, np.ceil(np.log2(np.maximum(sizes, 1) / SMALLEST)).astype(int))
+        few = np.flatnonzero(sizes < FEW)
+        self.few = np.concatenate([sets[k] for k in few]) if len(few) else np.zeros(0, np.uint64)
+        order = np.argsort(self.few)
+        self.few, self.few_items = self.few[order], np.repeat(few, sizes[few])[order]
+        self.few_hints = np.zeros(HINTS, bool)
+        self.few_hints[(self.few & np.uint64(HINTS - 1)).astype(np.int64)] = True
         self.parts = []
-        for part in np.unique(parts):
-            own = np.flatnonzero(parts == part)
+        for part in np.unique(parts[sizes >= FEW]):
+            own = np.flatnonzero((parts == part) & (sizes >= FEW))
             minima = np.array([[(sets[k] * factor).min() for factor in FACTORS] for k in own], np.uint64)
             hints = np.zeros((HASHES, HINTS), bool)
             for k in range(HASHES):
@@ -51,11 +60,22 @@ class _Items:
             order = np.argsort(minima, axis=0)
             self.parts.append((SMALLEST << int(part), np.take_along_axis(minima, order, 0), own[order], hints))
 
+    def _with_few(self, shingles: np.ndarray, sizes: np.ndarray) -> set[tuple[int, int]]:
+        """The candidates among items of few shingles."""
+        if not len(self.few):
+            return set()
+        maybe = np.flatnonzero(self.few_hints[(shingles & np.uint64(HINTS - 1)).astype(np.int64)])
+        values = shingles[maybe]
+        at, to = np.searchsorted(self.few, values), np.searchsorted(self.few, values, "right")
+        owner = np.repeat(np.arange(len(sizes)), sizes)[maybe]
+        hits = np.unique(np.column_stack([owner, at, to])[at < to], axis=0)
+        return {(int(k), int(item)) for k, low, high in hits for item in self.few_items[low:high]}
+
     def candidates(self, shingles: np.ndarray, sizes: np.ndarray) -> set[tuple[int, int]]:
         """(document, item) by their positions, for consecutive documents with ``sizes`` shingles."""
-        found: set[tuple[int, int]] = set()
+        found = self._with_few(shingles, sizes)
         filled = np.flatnonzero(sizes > 0)
-        if not len(filled):
+        if not len(filled) or not self.parts:
             return found
         blocks = -(-sizes[filled] // SMALLEST)
         document = np.repeat(filled, blocks)
