@@ -25,6 +25,22 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def position(df: DataFrame, name: str) -> int:
+    """Where ``df`` has the column ``name``: spelled like that, or else the first that differs in letter case only."""
+    same = [k for k, column in enumerate(df.columns) if column == name]
+    same += [k for k, column in enumerate(df.columns) if column.lower() == name.lower()]
+    if not same:
+        raise ValueError(f"no column {name} among {df.columns}")
+    return same[0]
+
+
+def pick(df: DataFrame, **columns: str) -> DataFrame:
+    """The given columns under new names. They are taken by position, so other columns may have any names."""
+    places = {new: position(df, name) for new, name in columns.items()}
+    numbered = df.toDF(*[f"_{k}" for k in range(len(df.columns))])
+    return numbered.select(*[numbered[f"_{k}"].alias(new) for new, k in places.items()])
+
+
 def ship(module: str) -> None:
     """Let functions of a module travel inside the tasks, so that executors need no copy of this package."""
     cloudpickle.register_pickle_by_value(sys.modules[module])

@@ -1,16 +1,19 @@
-"""The ten operators as queries over the given tables, with production parameters, and their oracle SQL."""
+"""The operators as queries over the given tables, with production parameters, and their oracle SQL."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import license_scan
-from millrace.llm.common import read
+from millrace.llm.byte_bpe import decode_ids, encode_texts, token_digests
+from millrace.llm.common import Workspace, read
+from millrace.llm.conversation_repair import repair_report, with_damage
 from millrace.llm.decontaminate import find_leaks
 from millrace.llm.embedding_dedup import near_copies
 from millrace.llm.jaccard_join import jaccard_join
 from millrace.llm.language_id import identify_languages, train_languages
 from millrace.llm.license_scan import known_licenses, scan_licenses
+from millrace.llm.periodic_runs import find_runs, run_digests, with_repeats
 from millrace.llm.pseudonyms import pseudonymise
 from millrace.llm.secret_scan import scan_secrets
 from millrace.llm.source_mix import SEED, STEPS, WEIGHTS, mix_sources
@@ -61,6 +64,20 @@ def op10_pii_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
     return pseudonymise(read(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return run_digests(find_runs(with_repeats(read(spark, folder, "documents"))))
+
+
+def op12_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return token_digests(decode_ids(encode_texts(read(spark, folder, "documents"), offsets=False), text=False))
+
+
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = read(spark, folder, "conversations")
+    with Workspace(spark, "op13") as work:
+        return work.result(repair_report(conversations, with_damage(conversations), work))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -71,7 +88,8 @@ QUERIES = {
     query.__name__: query
     for query in (
         op1_embedding_near_dedup, op2_source_mix, op3_ngram_jaccard_join, op4_license_scan, op5_url_filter,
-        op6_secret_scan, op7_token_counts, op8_benchmark_decontamination, op9_language_id, op10_pii_pseudonyms, pipeline,
+        op6_secret_scan, op7_token_counts, op8_benchmark_decontamination, op9_language_id, op10_pii_pseudonyms,
+        op11_periodic_runs, op12_byte_bpe, op13_conversation_repair, pipeline,
     )
 }
 
