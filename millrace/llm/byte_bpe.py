@@ -1,8 +1,8 @@
 """Byte-level BPE over whole texts: ids with their places in the text, and the way back to bytes.
 
-The ``tokenizers`` library encodes Arrow batches. Its model works on characters, so every byte stands for one printable
-character (``byte_characters``); offsets are those of the text's own characters, and a character whose bytes lie in
-several tokens belongs to each of them. Only a file of ranks is given: a token's merge is the last step of merging its
+The ``tokenizers`` library encodes Arrow batches, stretch by stretch. Its model works on characters, so every byte stands
+for one printable character (``byte_characters``). The tokens' lengths in bytes, mapped to the text's characters, give
+their offsets; a character whose bytes lie in several tokens belongs to each of them. Only a file of ranks is given: a token's merge is the last step of merging its
 own bytes by the lower ranks. Whatever stands beside those bytes, they end as the same two parts just before that merge,
 since no merge of a lower rank crossed them; so these merges give what merging by rank gives.
 
@@ -17,7 +17,9 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -29,8 +31,11 @@ from millrace.llm.common import pick, ship
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"  # ranks of a public vocabulary; any file of that form will do
 # Fixed value: the public pattern that splits a text before the vocabulary's merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-PIECE_CHARS = 1 << 17  # text encoded at once: an encoding takes some hundred bytes a token
-BATCH_TOKENS = 1 << 19  # tokens handed on at once
+ROW_CHARS = 1 << 16  # new stretches encoded at once: an encoding takes some hundred bytes a token
+KNOWN = 1 << 18  # stretches kept; beyond that they are forgotten and encoded again
+BATCH = 1 << 19  # bytes of text, or ids, worked on at once; a longer text is alone
+
+_CUT = re.compile(r"(?<=\S)(?=[ \n])")  # what is white space to the pattern is so to \S too
 
 ship(__name__)
 
@@ -102,48 +107,81 @@ def _token_bytes(form: str) -> dict[int, bytes]:
     return _tokens[form]
 
 
-def pieces(text: str) -> list[tuple[int, str]]:
-    """Parts of a text that the pattern matches apart, and where they start: of ``PIECE_CHARS``, or up to the next cut.
+def stretches(text: str) -> list[str]:
+    """A text cut before every blank and line feed that follows something else than white space.
+
+    The pattern has no match in which white space follows anything else, so no match crosses such a cut, and none before
+    it looks beyond. The tokens of a text are those of its stretches.
+    """
+    return _CUT.split(text) if text else []
+
+
+def _apart(stretch: str) -> bool:
+    """Whether a stretch must be encoded on its own, as its white space could go together with that of a neighbour."""
+    return stretch[-1].isspace() or (stretch[0].isspace() and stretch[0] not in " \n")
 
-    The pattern has no match in which white space follows anything else, so a text may be cut between a letter or digit
-    and a blank: no match crosses the cut, and none before it looks beyond.
+
+class Encoder:
+    """Encodes texts, each stretch that comes again only once.
+
+    New stretches are encoded in long rows; a stretch that begins with no white space has a line feed put before it, to
+    part it from the one in front, whose token is taken off again.
     """
-    parts, at = [], 0
-    while len(text) - at > PIECE_CHARS:
-        cut = re.compile(r"(?<=[0-9A-Za-z])(?= )").search(text, at + PIECE_CHARS)
-        if not cut:
-            break
-        parts.append((at, text[at : cut.start()]))
-        at = cut.start()
-    return [*parts, (at, text[at:])]
-
-
-def _encoded(tokenizer: Tokenizer, texts: list[str], offsets: bool) -> list[tuple[list[int], list[int], list[int]]]:
-    """Ids, first characters and ends of the tokens of each text."""
-    encode = tokenizer.encode_batch if offsets else tokenizer.encode_batch_fast
-    out = []
-    waiting: list[tuple[int, int, str]] = []
-    size = 0
-
-    def flush() -> None:
-        for (k, start, _), made in zip(waiting, encode([part for _, _, part in waiting], add_special_tokens=False)):
-            ids, starts, ends = out[k]
-            ids += made.ids
-            if offsets:
-                starts += [start + a for a, _ in made.offsets]
-                ends += [start + b for _, b in made.offsets]
-        waiting.clear()
-
-    for k, text in enumerate(texts):
-        out.append(([], [], []))
-        for start, part in pieces(text):
-            waiting.append((k, start, part))
-            size += len(part)
-            if size >= PIECE_CHARS:
-                flush()
-                size = 0
-    flush()
-    return out
+
+    def __init__(self, form: str):
+        self.tokenizer, tokens = _tokenizer(form), _token_bytes(form)
+        self.known: dict[str, list[int]] = {}
+        self.sizes = np.zeros(max(tokens) + 1, np.int64)
+        for rank, token in tokens.items():
+            self.sizes[rank] = len(token)
+        self.line_feed = len(self._ids(["\n"])[0])
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [made.ids for made in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, new: list[str]) -> None:
+        alone = [stretch for stretch in new if _apart(stretch)]
+        self.known.update(zip(alone, self._ids(alone)))
+        row: list[str] = []
+        size = 0
+        for stretch in new:
+            if not _apart(stretch):
+                row.append(stretch)
+                size += len(stretch)
+                if size >= ROW_CHARS:
+                    self._learn_row(row)
+                    row, size = [], 0
+        if row:
+            self._learn_row(row)
+
+    def _learn_row(self, row: list[str]) -> None:
+        parted = [stretch if stretch[0] in " \n" else "\n" + stretch for stretch in row]
+        [ids] = self._ids(["".join(parted)])
+        ends = np.cumsum(self.sizes[np.array(ids)])
+        bounds = np.searchsorted(ends, np.cumsum([len(stretch.encode()) for stretch in parted]), "right").tolist()
+        start = 0
+        for stretch, part, stop in zip(row, parted, bounds):
+            self.known[stretch] = ids[start + (self.line_feed if len(part) > len(stretch) else 0) : stop]
+            start = stop
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and where each text's begin, with the end of the last."""
+        if len(self.known) > KNOWN:
+            self.known.clear()
+        cut = [stretches(text) for text in texts]
+        new = [stretch for stretch in dict.fromkeys(chain.from_iterable(cut)) if stretch not in self.known]
+        if new:
+            self._learn(new)
+        lists = [list(chain.from_iterable(map(self.known.__getitem__, parts))) for parts in cut]
+        bounds = np.cumsum([0, *map(len, lists)])
+        return np.fromiter(chain.from_iterable(lists), np.int32, int(bounds[-1])), bounds
+
+    def places(self, texts: list[str], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First character and end of every id, counted in its own text: bytes are mapped to their characters."""
+        data = [np.frombuffer(text.encode(), np.uint8) for text in texts]
+        character = np.concatenate([np.zeros(0, np.int64), *[np.cumsum((one & 0xC0) != 0x80) - 1 for one in data]])
+        ends = np.cumsum(self.sizes[ids])
+        return character[ends - self.sizes[ids]], character[ends - 1] + 1
 
 
 def encode_texts(
@@ -159,18 +197,18 @@ def encode_texts(
     """
     with open(vocabulary, "rb") as file:
         form = docs.sparkSession.sparkContext.broadcast(build_tokenizer(file.read()))
-    kind = pa.list_(pa.int32())
     names = ["doc_id", "ids", "starts", "ends"][: 4 if offsets else 2]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(form.value)
+        encoder = Encoder(form.value)
         for batch in batches:
-            ids, texts = batch.column("doc_id"), batch.column("text")
-            for at, to in _slices(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), BATCH_TOKENS):
+            texts = batch.column("text")
+            for at, to in _slices(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), BATCH):
                 whole = [(value or b"").decode("utf-8", "replace") for value in texts[at:to].to_pylist()]
-                made = zip(*_encoded(tokenizer, whole, offsets))
-                columns = [pa.array(list(column), kind) for column in made]
-                yield pa.RecordBatch.from_arrays([ids[at:to], *columns][: len(names)], names)
+                ids, bounds = encoder.encode(whole)
+                columns = [ids, *(encoder.places(whole, ids) if offsets else ())]
+                lists = [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(one, pa.int32())) for one in columns]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id")[at:to], *lists], names)
 
     plain = pick(docs, doc_id=doc_id, text=text)
     plain = plain.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"))
@@ -189,6 +227,15 @@ def _slices(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
+def _as_lists(lists: pa.ListArray) -> Iterator[list[int] | None]:
+    """Lists of numbers; a null in one of them becomes -1, which is no id."""
+    values = pc.fill_null(lists.flatten(), -1).to_numpy(zero_copy_only=False).tolist()
+    at = 0
+    for size in pc.list_value_length(lists).to_pylist():
+        yield None if size is None else values[at : at + size]
+        at += size or 0
+
+
 def joined_bytes(ids: list[int] | None, tokens: dict[int, bytes]) -> bytes | None:
     """The bytes of a list of ids; null if there is no list, or an id in it that the vocabulary does not have."""
     try:
@@ -225,8 +272,8 @@ def decode_ids(
         tokens = _token_bytes(form.value)
         for batch in batches:
             lists = batch.column("ids")
-            for at, to in _slices(pc.fill_null(pc.list_value_length(lists), 0).to_pylist(), BATCH_TOKENS):
-                data = [joined_bytes(one, tokens) for one in lists[at:to].to_pylist()]
+            for at, to in _slices(pc.fill_null(pc.list_value_length(lists), 0).to_pylist(), BATCH):
+                data = [joined_bytes(one, tokens) for one in _as_lists(lists[at:to])]
                 columns = [batch.column("doc_id")[at:to], lists[at:to], pa.array(data, pa.binary())]
                 if text:
                     written = [as_text(one) for one in data]

@@ -11,7 +11,7 @@ pytest.importorskip("millrace.llm")
 import tiktoken  # noqa: E402
 
 from millrace.llm import byte_bpe  # noqa: E402
-from millrace.llm.byte_bpe import PIECE_CHARS, VOCABULARY, decode_ids, encode_texts, pieces  # noqa: E402
+from millrace.llm.byte_bpe import ROW_CHARS, VOCABULARY, decode_ids, encode_texts, stretches  # noqa: E402
 from millrace.llm.common import read  # noqa: E402
 from millrace.llm.queries import QUERIES  # noqa: E402
 
@@ -79,13 +79,25 @@ def test_split_characters_and_unknown_ids(spark, plain):
 def test_very_long_texts(spark, plain):
     rng = random.Random(8)
     text = " ".join("".join(rng.choice("abcdeéß") for _ in range(rng.randint(1, 9))) for _ in range(80_000))
-    parts = pieces(text)
-    assert len(parts) > 2 and "".join(p for _, p in parts) == text and [a for a, _ in parts] == [0, *(len(text[:a]) for a, _ in parts[1:])]
+    assert len(text) > 4 * ROW_CHARS and len(stretches(text)) == 80_000 and "".join(stretches(text)) == text
     [row] = encode_texts(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
     assert row.ids == plain.encode_ordinary(text) and row.starts[0] == 0 and row.ends[-1] == len(text)
     assert all(text[s:e].encode() == plain.decode_single_token_bytes(i) for i, s, e in list(zip(row.ids, row.starts, row.ends))[-50:] if text[s:e].isascii())
-    unbroken = "ab" * PIECE_CHARS
-    assert pieces(unbroken) == [(0, unbroken)]
+    unbroken = "ab" * ROW_CHARS
+    assert stretches(unbroken) == [unbroken]
+    [row] = encode_texts(spark.createDataFrame([(1, unbroken)], "doc_id long, text string")).collect()
+    assert row.ids == plain.encode_ordinary(unbroken)
+
+
+def test_known_stretches_are_forgotten(plain, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "KNOWN", 20)
+    monkeypatch.setattr(byte_bpe, "ROW_CHARS", 30)
+    with open(VOCABULARY, "rb") as file:
+        encoder = byte_bpe.Encoder(byte_bpe.build_tokenizer(file.read()))
+    texts = unusual()
+    for at in range(0, len(texts), 7):
+        ids, bounds = encoder.encode(texts[at : at + 7])
+        assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [plain.encode_ordinary(t) for t in texts[at : at + 7]]
 
 
 def test_query_equals_the_other_library(spark, plain):
