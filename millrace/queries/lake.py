@@ -1,12 +1,14 @@
 """Lake-table changes over the whole events table, each ending in a scan of the final state."""
 
 import datetime as dt
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators import history
-from millrace.operators.lake import LakeTable
+from millrace.operators.lake import ConstraintError, LakeTable
 from millrace.plans.bindings import table
 from millrace.queries.registry import query
 from millrace.session import scratch
@@ -95,6 +97,39 @@ def lake_scan_between(spark, folder):
     return loaded(spark, folder).scan_between(*window, columns=["event_id", "event_type", "value"])
 
 
+@query("""SELECT event_id, event_type, value FROM events
+    WHERE CAST(ts AS DATE) = DATE '2024-01-07' OR (ts >= TIMESTAMP '2024-01-09 12:00:00' AND ts < TIMESTAMP '2024-01-10')""")
+def lake_time_filter(spark, folder):
+    """A filter on the timestamp as any caller writes it; only the days that it implies are read."""
+    where = "to_date(ts) = DATE'2024-01-07' OR (ts >= '2024-01-09 12:00:00' AND ts < '2024-01-10')"
+    return loaded(spark, folder).scan(where, ["event_id", "event_type", "value"])
+
+
+@query("""SELECT event_id, user_id, event_type FROM events
+    UNION ALL SELECT event_id + 100000000, user_id, event_type FROM events WHERE event_type = 'click'""")
+def lake_append_constraint(spark, folder):
+    """An append with keys that are there already adds nothing; one with a new range of keys opens no old file."""
+    lake, clicks = loaded(spark, folder), table(spark, folder, "events").filter("event_type = 'click'")
+    shifted = clicks.withColumn("event_id", F.col("event_id") + 100000000)
+    try:
+        lake.append(shifted.unionByName(clicks))
+    except ConstraintError:
+        lake.append(shifted)
+    return lake.scan(columns=["event_id", "user_id", "event_type"])
+
+
+@query("""SELECT CAST(1 AS BIGINT) AS version, event_id, value FROM events
+    UNION ALL SELECT 2, event_id, CASE WHEN event_type = 'view' THEN 0.0 ELSE value END FROM events
+    UNION ALL SELECT 3, event_id, CASE WHEN event_type = 'view' THEN 0.0 ELSE value END FROM events WHERE event_type <> 'error'""")
+def lake_versions(spark, folder):
+    """Every version of a table, read after all its changes."""
+    lake = loaded(spark, folder)
+    lake.update("event_type = 'view'", {"value": F.lit(0.0)})
+    lake.delete("event_type = 'error'")
+    versions = [lake.at(n).scan(columns=["event_id", "value"]).withColumn("version", F.lit(n).cast("bigint")) for n in (1, 2, 3)]
+    return reduce(DataFrame.unionByName, versions).select("version", "event_id", "value")
+
+
 @query("SELECT event_id, value FROM events WHERE event_type IN ('click', 'view') AND value > 20")
 def lake_filtered_scan(spark, folder):
     wanted = F.col("event_type").isin("click", "view") & (F.col("value") > 20)

@@ -78,6 +78,26 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder of whatever file system holds; none where it does not exist."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [status.getPath().getName() for status in system.listStatus(folder)] if system.exists(folder) else []
+
+
+def write_record(spark: SparkSession, folder: str, name: str, text: str) -> None:
+    """A small file that is there completely or not at all. One of that name already there is an error."""
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    part, whole = at(f"{folder}/_{uuid.uuid4().hex}"), at(f"{folder}/{name}")
+    system = whole.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = system.create(part, False)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+    if system.exists(whole) or not system.rename(part, whole):
+        system.delete(part, False)
+        raise FileExistsError(f"{folder}/{name}")
+
+
 @contextmanager
 def steps(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
     """``cut_lineage`` for the steps of one job; what they wrote is removed when the job is over."""
