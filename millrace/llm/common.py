@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import sys
+import uuid
 from itertools import count
 from types import TracebackType
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.session import remove_folder, scratch
+from millrace.session import remove_folder, scratch, shared_folder
+
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -46,26 +49,43 @@ def ship(module: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module])
 
 
+def _results(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/millrace/results-{spark.sparkContext.applicationId}"
+
+
+def remove_results(spark: SparkSession) -> None:
+    """Delete what the operators returned to this application; frames over it can be read no longer."""
+    remove_folder(spark, _results(spark))
+
+
 class Workspace:
     """Tables that one job writes to the shared folder: they survive lost executors and cut the lineage.
 
-    Leaving the ``with`` block removes all of them but the one given to ``result``, which belongs to the caller.
+    Leaving the ``with`` block removes all of them but the one given to ``result``, which belongs to the caller (see
+    ``remove_results``). ``batch_rows`` is how many rows the job hands to Python at once: whole texts or sets are
+    large, and several tasks of an executor hold a batch each, on both sides.
     """
 
-    def __init__(self, spark: SparkSession, label: str):
-        self.spark, self.folder, self.numbers = spark, scratch(spark, label), count()
+    def __init__(self, spark: SparkSession, label: str, batch_rows: int | None = None):
+        self.spark, self.folder, self.numbers, self.label = spark, scratch(spark, label), count(), label
+        self.batch_rows, self.before = batch_rows, None
 
     def __enter__(self) -> Workspace:
+        if self.batch_rows:
+            self.before = self.spark.conf.get(BATCH_ROWS)
+            self.spark.conf.set(BATCH_ROWS, min(int(self.before), self.batch_rows) if int(self.before) > 0 else self.batch_rows)
         return self
 
     def __exit__(self, kind: type | None, error: BaseException | None, trace: TracebackType | None) -> None:
+        if self.before is not None:
+            self.spark.conf.set(BATCH_ROWS, self.before)
         remove_folder(self.spark, self.folder)
 
     def keep(self, df: DataFrame) -> DataFrame:
         return self._stored(df, f"{self.folder}/{next(self.numbers)}")
 
     def result(self, df: DataFrame) -> DataFrame:
-        return self._stored(df, f"{self.folder}-result")
+        return self._stored(df, f"{_results(self.spark)}/{self.label}-{uuid.uuid4().hex}")
 
     def _stored(self, df: DataFrame, path: str) -> DataFrame:
         df.write.parquet(path)

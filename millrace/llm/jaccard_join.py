@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import Workspace, fresh, ship
+from millrace.llm.common import Workspace, fresh, pick, ship
 from millrace.llm.components import connected_components
 from millrace.llm.shingles import mix, shingle_sets
 
@@ -48,6 +48,7 @@ BROADCAST_KEYS = 200_000  # documents, of 16 bytes each, that are looked up with
 SALTS = 64  # parts of a frequent shingle's region while its pivot is found
 SALT_AT = 57  # first of the bits of a frequent shingle that its salt changes
 PARTNER_STEPS = 64  # of a document's size, in which the size of its largest partner is rounded up
+BATCH_ROWS = 512  # texts, or pairs with their sets, that a task holds at once
 SMALL_REGION = 32  # documents that are joined directly
 ROUNDS = 1  # further rounds of large regions
 PIVOTS = 8  # of a large region in a further round, on average
@@ -89,19 +90,24 @@ def _differing(a: str, b: str) -> Column:
 
 
 def _source(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).select(
-        "doc_id", F.xxhash64("text").alias("text_key"), "text"
-    )
+    return pick(docs, doc_id=doc_id, text=text).select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
+    ).select("doc_id", F.xxhash64("text").alias("text_key"), "text")
 
 
 def _describe(source: DataFrame) -> DataFrame:
     """A row per document with its class, a sketch at a class's first row in a task, and rows of frequent shingles."""
 
     def frequent(parts: list[np.ndarray]) -> pa.RecordBatch:
-        values, times = np.unique(np.concatenate(parts), return_counts=True)
+        values = np.concatenate(parts)
+        parts.clear()
+        values.sort()  # where it is: these are the largest arrays of a task
+        first = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+        times = np.diff(first, append=len(values))
         often = times >= REPEATS
-        size, none = int(often.sum()), pa.nulls(int(often.sum()), pa.int64())
-        columns = [none] * 4 + [pa.nulls(size, pa.list_(pa.int64())), pa.array(values[often].view(np.int64)), pa.array(times[often])]
+        values, times = values[first[often]], times[often]
+        size, none = len(values), pa.nulls(len(values), pa.int64())
+        columns = [none] * 4 + [pa.nulls(size, pa.list_(pa.int64())), pa.array(values.view(np.int64)), pa.array(times)]
         return pa.RecordBatch.from_arrays(columns, names)
 
     names = ["doc_id", "text_key", "n", "c", "sketch", "g", "df"]
@@ -122,7 +128,7 @@ def _describe(source: DataFrame) -> DataFrame:
                     held += len(found)
                     if held >= COUNTED_AT_ONCE:
                         yield frequent(parts)
-                        parts, held = [], 0
+                        held = 0
             none = pa.nulls(batch.num_rows, pa.int64())
             described = [pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()), pa.array(sketches, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(
@@ -391,7 +397,7 @@ def jaccard_join(
     ignored; an empty table gives an empty result.
     """
     source = _source(docs, doc_id, text)
-    with Workspace(docs.sparkSession, "jaccard") as work:
+    with Workspace(docs.sparkSession, "jaccard", BATCH_ROWS) as work:
         described = work.keep(_describe(source))
         rows = described.where("n is not null").select("doc_id", "text_key", "n", "c", "sketch")
         owner = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_key"))

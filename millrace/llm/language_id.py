@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import Workspace, ship
+from millrace.llm.common import Workspace, pick, position, ship
 
 SAMPLE_DOCS = 400  # labelled documents of each language that its dictionary is made of, at most
 BLOCK = 256  # bytes of a dictionary that come from one place of a document
@@ -160,14 +160,15 @@ def keep_identified(
 
     Without a model the dictionaries are made of the labelled rows of ``docs``.
     """
-    model = model or train_languages(docs, doc_id, text, lang)
+    model = model or train_languages(pick(docs, doc_id=doc_id, text=text, lang=lang))
+    at = position(docs, text)
     shared = docs.sparkSession.sparkContext.broadcast(model.dictionaries)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = LanguageModel(shared.value)
         encoders = _encoders(known)
         for batch in batches:
-            _, margins = _judge(batch.column(text), known, encoders)
+            _, margins = _judge(batch.column(at), known, encoders)
             yield batch.filter(pa.array(margins >= MIN_MARGIN))
 
     return docs.mapInArrow(keep, docs.schema)

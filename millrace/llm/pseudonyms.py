@@ -18,7 +18,8 @@ different values have different ones. Formats and their domains:
   day.month.year; the days of those 400 years are permuted, so that a day has one pseudonym in all these forms;
 * dates as day/month/year or day-month-year that cannot be read month first; the days from the 13th of a month on are
   permuted among themselves, so that a pseudonym cannot be read month first either;
-* e-mail addresses: the letters and the digits before the @ are permuted, each among strings of their length.
+* e-mail addresses: the letters a to z and the digits before the @ are permuted, each among strings of their length;
+  a letter of another script becomes one of a to z, drawn by a keyed digest of the whole part before the @ and its place.
 
 Everything is expressions on a text's own row: nothing moves between tasks.
 """
@@ -30,13 +31,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import fresh
+from millrace.llm.common import fresh, position
 
-KEY = "a key from the job's own secrets"  # give the job's key; equal keys link the pseudonyms of several runs
+KEY = "an example key, which everyone knows"  # for the registered query and the tests; a job gives a secret of its own
 ROUNDS = 10
 CHUNK = 13  # letters of an address that are permuted together: 26 ** 13 fits a long
 
-_EMAIL = r"(?<![\p{L}0-9._%+-])[\p{L}0-9][\p{L}0-9._%+-]{0,63}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+_EMAIL = (  # possessive, so that no run of such characters is looked at twice
+    r"(?<![\p{L}0-9._%+-])(?=[._%+-]*+[\p{L}0-9])[\p{L}0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+)
 _DATE = r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}(?:/[0-9]{1,2}/|-[0-9]{1,2}-|\.[0-9]{1,2}\.)[0-9]{4})"
 _DATED = (  # a date where it stands: an ISO one may go on with T and a time, a dotted one is no part of a longer number
     r"(?:(?<![/-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}(?![/-])(?=[Tt][0-9]|(?![0-9A-Za-z]))"
@@ -262,6 +265,12 @@ def _date(match: Column, key: str) -> Column:
     return F.when(valid, F.when(iso | dotted | month_first, of_all).otherwise(of_late))
 
 
+def _drawn(local: Column, at: Column, key: str) -> Column:
+    """A number from 1 to 26, drawn for a place of a text."""
+    digest = F.md5(F.concat(F.lit(f"{key}:letter:"), at.cast("string"), F.lit(":"), local))
+    return (F.conv(F.substring(digest, 1, 12), 16, 10).cast("long") % 26 + 1).cast("int")
+
+
 def _email(match: Column, key: str) -> Column:
     def written(local: Column) -> Column:
         letters = _chunks(
@@ -278,7 +287,8 @@ def _email(match: Column, key: str) -> Column:
                     F.when(c.between("a", "z"), letter)
                     .when(c.between("A", "Z"), F.upper(letter))
                     .when(c.between("0", "9"), digit)
-                    .otherwise(c)
+                    .when(c.rlike("[0-9._%+-]"), c)
+                    .otherwise(F.substring(F.lit(_LETTERS), _drawn(local, at, key), F.lit(1)))
                 )
 
             return character
@@ -290,7 +300,7 @@ def _email(match: Column, key: str) -> Column:
     return F.concat(_let(F.substring_index(match, "@", 1), written), domain)
 
 
-def pseudonym(match: Column, key: str = KEY) -> Column:
+def pseudonym(match: Column, key: str) -> Column:
     """``kind, value`` of a match: its pseudonym; both null if it is not valid in its format."""
     kinds = [
         ("email", match.contains("@"), _email),
@@ -308,14 +318,16 @@ def pseudonym(match: Column, key: str = KEY) -> Column:
     return _let(value, lambda new: F.struct(F.when(new.isNotNull(), kind).alias("kind"), new.alias("value")))
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY, text: str = "text") -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``docs`` with every validated value in the whole text replaced by its pseudonym, and ``n_pseudonyms``, their
-    number, added (an input column of that name is replaced).
+    number, added (an input column of that name is replaced). ``text`` names its column in any letter case. Equal keys
+    link the pseudonyms of several runs; whoever has the key can undo them.
 
     Values that look like a format but are not valid (a number with a wrong check digit) stay. A null text stays null
     with 0 pseudonyms, an empty one empty. All other columns and all rows, repeated ones too, stay as they are; an
     empty table gives an empty result.
     """
+    text = docs.columns[position(docs, text)]
     value = F.col(text).cast("string")
     at, pieces, found, new = (fresh(docs, name) for name in ("split_text", "text_pieces", "text_matches", "new_values"))
 

@@ -14,7 +14,7 @@ from millrace.llm.jaccard_join import jaccard_join
 from millrace.llm.language_id import identify_languages, train_languages
 from millrace.llm.license_scan import known_licenses, scan_licenses
 from millrace.llm.periodic_runs import find_runs, run_digests, with_repeats
-from millrace.llm.pseudonyms import pseudonymise
+from millrace.llm.pseudonyms import KEY, pseudonymise
 from millrace.llm.secret_scan import scan_secrets
 from millrace.llm.source_mix import SEED, STEPS, WEIGHTS, mix_sources
 from millrace.llm.token_counts import count_tokens
@@ -61,7 +61,7 @@ def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_pii_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
-    return pseudonymise(read(spark, folder, "documents").select("doc_id", "text"))
+    return pseudonymise(read(spark, folder, "documents").select("doc_id", "text"), KEY)
 
 
 def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
@@ -115,7 +115,7 @@ _PART = "CASE " + " ".join(f"WHEN source = '{name}' THEN '{name}'" for name in W
 _SHARE = "CASE part " + " ".join(f"WHEN '{name}' THEN {share}" for name, share in WEIGHTS.items())
 _SHARE += f" ELSE {max(0.0, 1 - sum(WEIGHTS.values()))} END"
 OP2 = f"""
-WITH known AS (SELECT *, {_PART} AS part FROM documents),
+WITH known AS (SELECT *, {_PART} AS part, md5(coalesce(text, '')) AS own FROM documents),
 sizes AS (SELECT part, sum(coalesce(length(text), 0)) AS size FROM known GROUP BY part),
 rates AS (
     SELECT part, CAST({_SHARE} AS DOUBLE) * (SELECT sum(size) FROM sizes) / size AS rate FROM sizes WHERE size > 0
@@ -126,14 +126,14 @@ rates AS (
 ), steps AS (
     SELECT part, k, sum(term) OVER (PARTITION BY part ORDER BY k ROWS UNBOUNDED PRECEDING) AS step FROM terms
 ), drawn AS (
-    SELECT known.*, {_UNIFORM.format(f"concat('{SEED}:', coalesce(CAST(doc_id AS VARCHAR), ''))")} AS u FROM known
+    SELECT known.*, {_UNIFORM.format(f"concat('{SEED}:', coalesce(CAST(doc_id AS VARCHAR), ''), ':', own)")} AS u FROM known
 ), counted AS (
     SELECT doc_id, count(*) AS copies FROM drawn JOIN steps ON drawn.part = steps.part AND step <= u GROUP BY doc_id
 ), copied AS (
     SELECT documents.*, copies, unnest(range(1, copies + 1)) AS copy_no
     FROM documents JOIN counted ON documents.doc_id = counted.doc_id
 )
-SELECT *, {_UNIFORM.format(f"concat('{SEED + 1}:', CAST(doc_id AS VARCHAR), ':', CAST(copy_no AS VARCHAR))")} AS deal
+SELECT *, {_UNIFORM.format(f"concat('{SEED + 1}:', CAST(doc_id AS VARCHAR), ':', md5(coalesce(text, '')), ':', CAST(copy_no AS VARCHAR))")} AS deal
 FROM copied
 """
 

@@ -2,8 +2,8 @@
 
 Every source (or the rest, all sources without a weight of their own) has a mean repetition rate: its target
 share of all characters over its present share. Each document's number of copies is the inverse of the Poisson
-distribution with that rate at a number in [0, 1) hashed from seed and id, so a rerun, or another split of
-the input, gives the same copies. Copies are exploded and dealt out globally by another hash.
+distribution with that rate at a number in [0, 1) hashed from seed, id and text, so a rerun, or another split of
+the input, gives the same copies. Only rows without an id are told apart by their place in the input too. Copies are exploded and dealt out globally by another hash.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from millrace.llm.common import fresh
 
 WEIGHTS = {"src0": 0.15, "src1": 0.10, "src2": 0.10}  # shares of the mix; other sources share the rest
 SEED = 11
+MOST = 10_000.0  # largest mean number of copies; a source that would need more is refused
 STEPS = 16  # standard deviations after which the distribution ends: less than one in 2**53 lies beyond
 
 
@@ -40,6 +41,8 @@ def poisson_steps(rate: Column) -> Column:
         return F.struct(log.alias("log"), total.alias("total"), F.concat(state["steps"], F.array(total)).alias("steps"))
 
     steps = F.aggregate(F.sequence(F.lit(1), last), start, add, lambda state: state["steps"])
+    refused = F.concat(F.lit("a source would be repeated "), rate.cast("string"), F.lit(f" times on average; at most {MOST} are possible"))
+    steps = F.when(rate > MOST, F.raise_error(refused).cast("array<double>")).otherwise(steps)
     return F.when(rate > 0, steps).otherwise(F.array().cast("array<double>"))
 
 
@@ -67,26 +70,31 @@ def mix_sources(
     (1, 2, ...), ``copies`` (of this document) and ``deal`` (the hash in [0, 1) by which copies are dealt out
     and sorted) are added; input columns of these names are replaced. A document without text is repeated like
     any other of its source; a weighted source without any text gets no copies, and neither does a
-    group whose share is 0. Rows with equal or null doc_id are drawn alike. An empty table gives an empty result.
+    group whose share is 0. Rows are drawn one by one, also those that share an id, or have none: without
+    an id equal texts are told apart by where they stand in ``docs``; only rows of equal id and text have equal numbers of
+    copies. A source that would need more than ``MOST`` copies of each document stops the job. An empty table gives an
+    empty result.
     """
     if any(share < 0 for share in weights.values()) or sum(weights.values()) > 1 + 1e-9:
         raise ValueError("weights are shares that add up to at most 1")
-    part, steps = fresh(docs, "mix_part"), fresh(docs, "mix_steps")
+    part, steps, own = (fresh(docs, name) for name in ("mix_part", "mix_steps", "mix_own"))
     rest = max(0.0, 1 - sum(weights.values()))
     named = F.lit(-1)
     share = F.lit(rest)
     for number, (name, weight) in enumerate(sorted(weights.items())):
         named = F.when(F.col(source) == name, F.lit(number)).otherwise(named)
         share = F.when(F.col(part) == number, F.lit(float(weight))).otherwise(share)
-    known = docs.withColumn(part, named)
+    digest, place = F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")), F.monotonically_increasing_id()
+    numbered = F.when(F.col(doc_id).isNull(), F.concat_ws(":", digest, place.cast("string"))).otherwise(digest)
+    known = docs.withColumns({part: named, own: numbered})
     sizes = known.groupBy(part).agg(F.sum(F.coalesce(F.length(text), F.lit(0))).alias("size"))
     # At most one row per weight and one for the rest: what is gathered and broadcast is bounded by the parameter.
     totals = sizes.agg(F.sum("size").alias("total"), F.collect_list(F.struct(part, "size")).alias("parts"))
     rates = totals.select("total", F.inline("parts")).where("size > 0")
     rates = rates.select(part, poisson_steps(share * F.col("total") / F.col("size")).alias(steps))
     drawn = known.join(F.broadcast(rates), part)
-    copies = _inverse(F.col(steps), uniform(seed, F.col(doc_id))).cast("long")
+    copies = _inverse(F.col(steps), uniform(seed, F.col(doc_id), F.col(own))).cast("long")
     counted = drawn.withColumn("copies", copies).where("copies > 0").drop(part, steps)
     exploded = counted.withColumn("copy_no", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    dealt = exploded.withColumn("deal", uniform(seed + 1, F.col(doc_id), F.col("copy_no")))
+    dealt = exploded.withColumn("deal", uniform(seed + 1, F.col(doc_id), F.col(own), F.col("copy_no"))).drop(own)
     return dealt.repartition("deal").sortWithinPartitions("deal", doc_id, "copy_no")

@@ -142,10 +142,10 @@ def test_mix_draws_each_document_by_its_hash(spark):
     assert abs(share - 0.25 / 0.9) < 0.03
     rates = {True: 0.25, False: 0.65}
     size = {part: sum(len(r[1] or "") for r in rows if (r[3] == "src0") == part) for part in rates}
-    for doc_id, _, _, source, _ in rows[:400]:
+    for doc_id, text, _, source, _ in rows[:400]:
         part = source == "src0"
         rate = rates[part] * sum(size.values()) / size[part]
-        u = int(hashlib.md5(f"11:{doc_id}".encode()).hexdigest()[:13], 16) / 2**52
+        u = int(hashlib.md5(f"11:{doc_id}:{hashlib.md5(text.encode()).hexdigest()}".encode()).hexdigest()[:13], 16) / 2**52
         term, total, count = np.exp(-rate), np.exp(-rate), 0
         while total <= u:
             count += 1
@@ -330,7 +330,7 @@ def test_pseudonyms_keep_the_format_and_the_links(spark):
     rows = [(k, f"é {v}, and {v}!\n{invalid[k % len(invalid)]}") for k, v in enumerate(values)]
     rows += [(50, None), (51, ""), (None, values[0]), (0, rows[0][1]), (52, "nothing here"), (53, " ".join(values))]
     docs = spark.createDataFrame([(*r, 7, "p") for r in rows], "doc_id long, text string, n_pseudonyms int, text_pieces string")
-    out = pseudonyms.pseudonymise(docs)
+    out = pseudonyms.pseudonymise(docs, pseudonyms.KEY)
     assert out.columns == ["doc_id", "text", "text_pieces", "n_pseudonyms"]
     found = {r["doc_id"]: r for r in out.collect() if r["doc_id"] is not None}
     assert out.count() == len(rows) and found[50]["text"] is None and found[51]["text"] == "" and found[52]["n_pseudonyms"] == 0
@@ -365,6 +365,6 @@ def test_empty_tables_give_empty_results(spark):
         jaccard_join(docs), near_copies(vectors), mix_sources(docs), scan_licenses(docs, known_licenses(spark)),
         judge_urls(spark.createDataFrame([], "page_id long, url string")), secret_scan.scan_secrets(docs),
         token_counts.count_tokens(docs), find_leaks(docs, spark.createDataFrame([], "item_id long, text string")),
-        identify_languages(docs, train_languages(docs)), pseudonyms.pseudonymise(docs), keep_identified(docs),
+        identify_languages(docs, train_languages(docs)), pseudonyms.pseudonymise(docs, pseudonyms.KEY), keep_identified(docs),
     ]
     assert [result.count() for result in results] == [0] * len(results)

@@ -12,7 +12,7 @@ from millrace.llm import pseudonyms  # noqa: E402
 
 def pseudonymised(spark, texts):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    return [r[1:] for r in sorted(pseudonyms.pseudonymise(docs).collect())]
+    return [r[1:] for r in sorted(pseudonyms.pseudonymise(docs, pseudonyms.KEY).collect())]
 
 
 def test_dates_of_other_forms(spark):
