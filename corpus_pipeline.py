@@ -13,7 +13,7 @@ from millrace.llm.common import Workspace, read
 from millrace.llm.decontaminate import without_leaks
 from millrace.llm.jaccard_join import one_of_each
 from millrace.llm.language_id import keep_identified
-from millrace.llm.pseudonyms import pseudonymise
+from millrace.llm.pseudonyms import KEY, pseudonymise
 from millrace.llm.source_mix import mix_sources
 
 
@@ -33,9 +33,12 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def protect(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with pseudonyms in place of personal numbers, dates and addresses."""
-    columns = [F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
-    return pseudonymise(docs).select(columns)
+    """Documents with pseudonyms in place of personal numbers, dates and addresses; ``n_chars`` is counted anew.
+
+    The key is the session's ``millrace.pseudonyms.key``; only without one is it an example that everyone knows.
+    """
+    columns = [F.length("text").cast(docs.schema[c].dataType).alias(c) if c.lower() == "n_chars" else F.col(c) for c in docs.columns]
+    return pseudonymise(docs, spark.conf.get("millrace.pseudonyms.key", KEY)).select(columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
