@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +31,29 @@ def unique(df: DataFrame, *columns: str) -> DataFrame:
     )
 
 
+def repeated_keys(df: DataFrame, column_sets: Sequence[Sequence[str]]) -> DataFrame:
+    """Repeated non-null keys of several sets of columns in one scan and one shuffle: ``set_no``, ``key_values`` (as
+    text) and ``n_records``.
+
+    Every row brings one (set, key) pair for each set of which it has all columns. Pairs are grouped together, and
+    counted inside each task before they move, so a key of many rows is a few rows on the way.
+    """
+
+    def written(column: str) -> Column:
+        value = F.col(column)
+        fraction = isinstance(df.schema[column].dataType, (T.FloatType, T.DoubleType))
+        return (F.when(value == 0, F.lit(0.0)).otherwise(value) if fraction else value).cast("string")  # -0.0 is 0.0
+
+    def pair(number: int, columns: Sequence[str]) -> Column:
+        filled = reduce(Column.__and__, [F.col(c).isNotNull() for c in columns])
+        values = F.array(*[written(c) for c in columns])
+        return F.when(filled, F.struct(F.lit(number).alias("set_no"), values.alias("key_values")))
+
+    pairs = F.array_compact(F.array(*[pair(number, columns) for number, columns in enumerate(column_sets)]))
+    stacked = df.select(F.inline(pairs))
+    return stacked.groupBy("set_no", "key_values").agg(F.count(F.lit(1)).alias("n_records")).filter("n_records > 1")
+
+
 def accepted_values(df: DataFrame, column: str, values: Sequence[object]) -> DataFrame:
     """Rows whose non-null value is outside the list."""
     return df.filter(F.col(column).isNotNull() & ~F.col(column).isin(list(values)))
@@ -199,8 +223,8 @@ def run_suite(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataF
     """One row per check: failures and whether it passed.
 
     An unknown kind or a table that is not given raises. A check of an absent column has one failure. A
-    suite without checks raises too. All row tests of a table share one scan and one aggregate; uniqueness and relationship checks
-    aggregate by key first, so hot keys shrink before they move.
+    suite without checks raises too. All row tests of a table share one scan and one aggregate; all uniqueness checks of a table share
+    another; they and relationship checks aggregate by key first, so hot keys shrink before they move.
     """
     _refuse_unknown(tables, checks)
     parts = []
@@ -219,13 +243,15 @@ def run_suite(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataF
             results += [_result(c, _schema_failures(c, df.schema)) for c in by_schema]
             results += [_result(c, F.lit(1)) for c in columnless]
             parts.append(counts.select(F.inline(F.array(*results))))
+        by_key = [c for c in mine if c.kind == "unique" and c.predicate is None]
+        if by_key:
+            repeated = repeated_keys(df, [[c.column] for c in by_key])
+            counts = repeated.agg(*[F.count_if(F.col("set_no") == i).alias(f"_u{i}") for i in range(len(by_key))])
+            parts.append(counts.select(F.inline(F.array(*[_result(c, F.col(f"_u{i}")) for i, c in enumerate(by_key)]))))
         for check in mine:
             if check.predicate is not None:
                 continue
-            if check.kind == "unique":
-                repeated = unique(df, check.column).agg(F.count(F.lit(1)).alias("_n"))
-                parts.append(repeated.select(F.inline(F.array(_result(check, F.col("_n"))))))
-            elif check.kind == "relationships":
+            if check.kind == "relationships":
                 parent, field = check.parent
                 missing = orphan_keys(df, check.column, tables[parent], field).agg(F.sum("n_records").alias("_n"))
                 parts.append(missing.select(F.inline(F.array(_result(check, F.col("_n"))))))

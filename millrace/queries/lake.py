@@ -170,10 +170,10 @@ def history_scd2(spark, folder):
         F.when(pending, "F").otherwise(F.col("o_orderstatus")).alias("o_orderstatus"),
         F.when(pending, F.col("updated_at") + F.expr("INTERVAL 30 DAY")).otherwise(F.col("updated_at")).alias("updated_at"),
     )
-    versions = history.start_history(orders, "o_orderkey", "updated_at")
-    for _ in range(2):
-        versions = history.apply_snapshot(versions, later, "o_orderkey", "updated_at")
-    return versions
+    stored = history.StoredHistory(spark, scratch(spark, "history"), "o_orderkey", "updated_at")
+    for source in (orders, later, later):
+        stored.run(source)
+    return stored.versions()
 
 
 @query("""SELECT user_id, ts, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id

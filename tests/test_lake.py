@@ -318,3 +318,66 @@ def test_history_from_log_crosses_buckets(spark):
             [("a", "x", at(1), at(1, 30)), ("a", "y", at(1, 30), at(5)), ("a", "z", at(5), None), ("b", "q", at(2), None)],
             key=repr,
         )
+
+
+# -- stored history -------------------------------------------------------------------------------
+
+
+def files_of(df):
+    return {path.split("/generation=")[1] for path in df.inputFiles()}
+
+
+def operators(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("\n")
+
+
+def test_stored_history_equals_the_history_of_frames(spark):
+    runs = [
+        [(f"u{k}", f"n{k}", day(1 + k % 3)) for k in range(300)] + [("u7", "older", dt.datetime(2023, 1, 1))],
+        [(f"u{k}", f"m{k}", day(2 + k % 4)) for k in range(0, 400, 50)],
+        [("u0", "same", day(2)), ("u50", "again", day(20))],
+        [("u50", "again", day(20))],
+    ]
+    stored = H.StoredHistory(spark, scratch(spark, "history"), "user_id", "updated_at")
+    frames, changed = None, []
+    for rows in runs:
+        source = spark.createDataFrame(rows, USERS)
+        changed.append(stored.run(source))
+        frames = H.start_history(source, "user_id", "updated_at") if frames is None else H.apply_snapshot(frames, source, "user_id", "updated_at")
+        assert sorted(map(tuple, stored.versions().collect()), key=repr) == sorted(map(tuple, frames.collect()), key=repr)
+    assert changed[0] == 300 and changed[2:] == [1, 0] and stored.version == 2
+    assert stored.versions().columns == frames.columns and stored.current().count() == 302
+    again = H.StoredHistory(spark, stored.root, "user_id", "updated_at")
+    assert again.run(spark.createDataFrame([("u50", "more", day(25))], USERS)) == 1
+    assert again.versions().filter("user_id = 'u50' AND valid_to IS NULL").first()["name"] == "more"
+
+
+def test_a_run_writes_only_what_it_touches(spark):
+    stored = H.StoredHistory(spark, scratch(spark, "history"), "user_id", "updated_at")
+    stored.run(spark.createDataFrame([(f"u{k}", "x", day(1)) for k in range(500)], USERS))
+    sizes = []
+    for n in range(3):
+        before, closed, cuts = files_of(stored.current()), stored.closed, dict(stored.cuts)
+        stored.run(spark.createDataFrame([("u3", f"v{n}", day(2 + n))], USERS))
+        assert len(files_of(stored.current()) - before) == 1 and len(before & files_of(stored.current())) >= len(before) - 1
+        assert stored.closed[:-1] == closed and sum(cuts[c] != stored.cuts[c] for c in cuts) == 1
+        sizes.append(operators(stored.versions()))
+    assert len(set(sizes)) == 1
+
+
+def test_a_run_that_dies_leaves_the_history_as_it_was(spark, monkeypatch):
+    stored = H.StoredHistory(spark, scratch(spark, "history"), "user_id", "updated_at")
+    stored.run(spark.createDataFrame([("u1", "Ann", day(1))], USERS))
+    before = sorted(map(tuple, stored.versions().collect()))
+    later = spark.createDataFrame([("u1", "Anna", day(3))], USERS)
+    with monkeypatch.context() as patch:
+        patch.setattr(H, "write_record", lambda *_: (_ for _ in ()).throw(KeyboardInterrupt))
+        with pytest.raises(KeyboardInterrupt):
+            stored.run(later)
+    assert sorted(map(tuple, H.StoredHistory(spark, stored.root, "user_id", "updated_at").versions().collect())) == before
+    for bad in ([(None, "x", day(1))], [("u9", "x", None)]):
+        with pytest.raises(ValueError, match="without"):
+            stored.run(spark.createDataFrame(bad, USERS))
+        assert H.undated(spark.createDataFrame(bad, USERS), "user_id", "updated_at").count() == 1
+    assert stored.run(later) == 1 and stored.versions().count() == 2
+    assert stored.run(later.limit(0)) == 0

@@ -186,3 +186,25 @@ def test_run_report(spark, tmp_path):
     assert rows(report) == [("sample", "SUCCESS", 3, 1), ("verify", "UNKNOWN", None, None)]
     G.write_report(report, str(tmp_path / "report"))
     assert spark.read.json(str(tmp_path / "report")).count() == 2
+
+
+def test_repeated_keys_of_many_sets_in_one_scan(spark):
+    rows = [(1, "a", 0.0, None), (1, "b", -0.0, "x"), (2, "a", 1.5, None), (None, "a", 1.5, "x"), (3, None, None, "y")]
+    df = spark.createDataFrame(rows, "k int, name string, part double, note string")
+    sets = [["k"], ["name"], ["part"], ["k", "name"], ["note"], ["name", "note"]]
+    found = Q.repeated_keys(df, sets)
+    got = sorted((r["set_no"], r["n_records"]) for r in found.collect())
+    expected = sorted((i, r["n_records"]) for i, columns in enumerate(sets) for r in Q.unique(df, *columns).collect())
+    assert got == expected == [(0, 2), (1, 3), (2, 2), (2, 2), (4, 2)]
+    plan = Q.repeated_keys(df, sets)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert Q.repeated_keys(df.limit(0), sets).collect() == []
+
+
+def test_suite_reads_a_table_twice_however_many_keys_it_checks(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, 2, 3), (1, 5, 6)], "a int, b int, c int").write.parquet(path)
+    table = spark.read.parquet(path)
+    suite = Q.run_suite({"t": table}, [Q.Check("t", c, kind) for c in "abc" for kind in ("unique", "not_null")])
+    assert suite._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2
+    assert {(r["column_name"], r["check_name"]): r["failures"] for r in suite.collect() if r["failures"]} == {("a", "unique"): 1}
