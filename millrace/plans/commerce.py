@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.dates import in_range, month_bounds, month_name
 from millrace.functions.text import ratio
-from millrace.operators.joins import left_join_lines
+from millrace.operators.joins import left_join_lines, sums_over_lines
 from millrace.operators.project import rename, top_by_count
 from millrace.plans.models import Project, model
 
@@ -199,24 +199,29 @@ def page_views_by_product(project: Project) -> DataFrame:
 def checkouts_by_product(project: Project) -> DataFrame:
     """Checkout events fanned out over the products of their order.
 
-    Events shrink to one row per order before meeting the lines, and lines to one row per (order,
-    product), so neither a hot order nor a hot product multiplies rows. Sums of sums keep the fan-out.
+    Events shrink to one row per order and lines to one row per (order, product) before they meet, so neither a hot
+    order nor a hot product multiplies rows, and the lines are read once. An event whose order is not known, or has no
+    lines, counts under no product.
     """
+    orders = project.ref("stg_orders").groupBy("order_guid").agg(F.count(F.lit(1)).alias("orders"))
     events = (
         project.ref("stg_events")
         .filter(F.col("order_guid").isNotNull())
         .groupBy("order_guid")
         .agg(F.sum(_flag("checkout")).alias("checkouts"))
+        .join(orders, "order_guid", "left")
+        .select(
+            F.when(F.col("orders").isNotNull(), F.col("order_guid")).alias("order_guid"),
+            (F.col("checkouts") * F.coalesce("orders", F.lit(1))).alias("checkouts"),
+        )
     )
-    lines = (
-        project.ref("int_order_lines")
-        .groupBy("order_guid", "product_guid", "product_name")
-        .agg(F.count(F.lit(1)).alias("lines"))
-    )
+    lines = project.ref("stg_order_items").select("order_guid", F.col("product_guid").alias("line_product_guid"))
+    counted = sums_over_lines(events, lines, "order_guid", "line_product_guid", "checkouts")
+    products = project.ref("stg_products").select("product_guid", "product_name")
     return (
-        left_join_lines(events, lines, "order_guid", null_keys=False)
+        counted.join(products, F.col("line_product_guid") == products["product_guid"], "left")
         .groupBy("product_guid", "product_name")
-        .agg(F.sum(F.col("checkouts") * F.coalesce("lines", F.lit(1))).alias("checkout_count"))
+        .agg(F.sum("checkouts").alias("checkout_count"))
     )
 
 
@@ -261,12 +266,10 @@ def lines_in_month(project: Project, state: str, year: int, month: int) -> DataF
         .select("order_guid", "address_guid")
         .join(addresses, "address_guid")
     )
+    orders = orders.groupBy("order_guid").agg(F.count(F.lit(1)).alias("lines"))
     lines = project.ref("stg_order_items").select("order_guid", "product_guid")
-    counted = (
-        left_join_lines(orders, lines, "order_guid")
-        .groupBy("product_guid")
-        .agg(F.count(F.lit(1)).alias("lines"))
-    )
+    wanted = lines.join(orders.select("order_guid"), "order_guid", "left_semi")  # no other order's lines move on
+    counted = sums_over_lines(orders, wanted, "order_guid", "product_guid", "lines")
     products = project.ref("stg_products").select("product_guid", "product_name")
     return counted.join(products, "product_guid", "left").select("product_name", "lines")
 

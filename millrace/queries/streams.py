@@ -99,6 +99,50 @@ def stream_land_raw(spark, folder):
     return kept.unionByName(lost).groupBy("folder").agg(F.count(F.lit(1)).alias("messages"))
 
 
+@query("""SELECT part, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS total FROM (
+      SELECT event_id, CASE WHEN event_id % 7 = 0 THEN 'frame' ELSE 'body' END AS part FROM events
+      UNION ALL SELECT event_id, 'other' FROM events WHERE event_id % 7 <> 0) GROUP BY 1""")
+def stream_frame_quarantine(spark, folder):
+    """Frames that cannot be decoded are set aside whole; all others are a movement and a message of another type."""
+    number = F.col("event_id").cast("string")
+    whole = F.to_json(F.array(*[
+        F.struct(F.struct(F.lit(kind).alias("msg_type")).alias("header"), F.struct(number.alias("train_id")).alias("body"))
+        for kind in ("0003", "0001")
+    ]))
+    cut = F.when(F.col("event_id") % 7 == 0, F.concat(F.lit('[{"header": '), number)).otherwise(whole)
+    path = scratch(spark, "frames")
+    M.land_bodies(_streamed(spark, table(spark, folder, "events").select(cut.alias("value")), "frames"), path, scratch(spark, "checkpoint"))
+    numbers = {
+        "body": F.get_json_object("value", "$.train_id"), "other": F.get_json_object("value", "$.body.train_id"),
+        "frame": F.regexp_extract("value", "([0-9]+)$", 1),
+    }
+    parts = [
+        M.landed_bodies(spark, path, part).select(F.lit(part).alias("part"), number.cast("long").alias("event_id"))
+        for part, number in numbers.items()
+    ]
+    together = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return together.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("total"))
+
+
+@query("""SELECT CAST(ts AS DATE) AS day, count(*) AS n, CAST(1 AS BIGINT) AS folders FROM events
+    WHERE ts < (SELECT date_trunc('day', max(ts)) FROM events) GROUP BY 1""")
+def stream_day_compaction(spark, folder):
+    """Events that came in four late batches a day; every closed day becomes one folder."""
+    events = table(spark, folder, "events").select("event_id", F.col("ts").alias("actual_timestamp"))
+    path = scratch(spark, "days")
+    write = M._replace_batch(path, "actual_timestamp")
+    last = events.agg(F.date_trunc("day", F.max("actual_timestamp")).alias("last"))
+    closed = events.join(F.broadcast(last), F.col("actual_timestamp") < F.col("last")).drop("last")
+    for batch in range(4):
+        write(closed.filter(F.col("event_id") % 4 == batch), batch)
+    write(events.join(F.broadcast(last), F.col("actual_timestamp") >= F.col("last")).drop("last"), 4)
+    stored = spark.read.schema("event_id bigint, day date, batch bigint").parquet(path)
+    days = [str(row["day"]) for row in stored.filter("batch < 4").select("day").distinct().collect()]
+    M.compact_days(spark, path, days)
+    per_day = spark.read.schema("event_id bigint, day date, batch bigint").parquet(path).filter("batch < 4").groupBy("day")
+    return per_day.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("batch").alias("folders"))
+
+
 @query(f"SELECT CAST(actual_timestamp AS DATE) AS day, count(*) AS n FROM ({BODY}) GROUP BY 1")
 def stream_day_load(spark, folder):
     """Typed rows streamed into day partitions; rows without a timestamp keep a day of null."""

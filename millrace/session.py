@@ -98,6 +98,14 @@ def write_record(spark: SparkSession, folder: str, name: str, text: str) -> None
         raise FileExistsError(f"{folder}/{name}")
 
 
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder; the target must not be there."""
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    system = at(source).getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.exists(at(target)) or not system.rename(at(source), at(target)):
+        raise FileExistsError(target)
+
+
 @contextmanager
 def steps(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
     """``cut_lineage`` for the steps of one job; what they wrote is removed when the job is over."""

@@ -182,3 +182,11 @@ def test_vectors_of_different_length_give_null(spark):
         vectors.cosine_similarity(F.col("a"), F.col("b")), vectors.euclidean_distance(F.col("a"), F.col("b"))
     )
     assert tuple(row.first()) == (None, None)
+
+
+def test_every_batch_is_messages_or_one_quarantine_row(spark):
+    texts = ['[{"a":1},{"a":2}]', "[]", "broken", None, '[{"a":1}, 5]', '{"a":1}', "[null]", '[{"a":"x"}]', '[{"a":1}', ""]
+    batches = spark.createDataFrame(list(enumerate(texts)), "id int, b string")
+    good, bad = nested.split_json_batches(batches, "b", struct("a int"))
+    assert sorted(tuple(r) for r in good.select("id", "message.a").fillna(-1).collect()) == [(0, 1), (0, 2), (7, -1)]
+    assert sorted((r["id"], r["b"]) for r in bad.collect()) == [(k, t) for k, t in enumerate(texts) if k not in (0, 7)]

@@ -6,10 +6,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import governance, quality
+from millrace.operators.joins import sums_over_lines
 from millrace.plans import bindings, commerce  # noqa: F401
+from millrace.plans.bindings import project
+from millrace.plans.commerce import lines_in_month
 from millrace.plans.models import MODELS, Project
 from millrace.plans.rail import join_companies
 from millrace.schemas import COMMERCE
+from millrace.session import configure
 
 T0 = dt.datetime(2021, 2, 10, 8)
 
@@ -175,3 +179,18 @@ def test_movements_double_for_a_company_listed_twice(spark):
 
 def test_literal_relation(spark):
     assert rows(spark.sql("SELECT 'hello' AS greeting")) == [("hello",)]
+
+
+def test_sums_over_lines_equal_a_left_join(spark):
+    left = spark.createDataFrame([("a", 2), ("a", 3), ("b", 5), ("c", 7), (None, 11)], "k string, w bigint")
+    lines = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2), ("b", None), ("z", 9), (None, 4)], "k string, item int")
+    joined = left.join(lines, "k", "left").groupBy("item").agg(F.sum("w").alias("w"))
+    assert sorted(map(tuple, sums_over_lines(left, lines, "k", "item", "w").collect()), key=str) == sorted(map(tuple, joined.collect()), key=str)
+    assert sums_over_lines(left.limit(0), lines, "k", "item", "w").collect() == []
+
+
+def test_lines_are_read_once(spark):
+    shop = project(configure(spark), "/root/testdata/sf0.001")
+    for df in (shop.ref("checkouts_by_product"), lines_in_month(shop, "IRAN", 1996, 1)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert sum("l_orderkey" in line for line in plan.splitlines() if "Relation [" in line) == 1

@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from millrace import schemas
@@ -114,3 +115,39 @@ def test_topic_options():
     options = sources.topic_options("host:9092", "movements", "group", {"security.protocol": "SASL_SSL"})
     assert options["startingOffsets"] == "earliest" and options["kafka.security.protocol"] == "SASL_SSL"
     assert options["subscribe"] == "movements" and options["kafka.group.id"] == "group"
+
+
+def test_compaction_can_be_repeated_wherever_it_died(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "days")
+    write = M._replace_batch(path, "at")
+    for batch in range(4):
+        rows = [(10 * batch + k, dt.datetime(2024, 1, 1 + k % 2, batch)) for k in range(4)]
+        write(spark.createDataFrame(rows, "n int, at timestamp_ntz"), batch)
+
+    def held():
+        rows = spark.read.parquet(path).select("n", "day", "batch").collect()
+        return sorted(r["n"] for r in rows), sorted({(str(r["day"]), r["batch"]) for r in rows})
+
+    before = held()[0]
+    for step in ("remove_folder", "move_folder"):
+        with monkeypatch.context() as patch:
+            real, calls = getattr(M, step), []
+
+            def dies(*given):
+                calls.append(given)
+                if len(calls) == (3 if step == "remove_folder" else 1):
+                    raise KeyboardInterrupt
+                real(*given)
+
+            patch.setattr(M, step, dies)
+            with pytest.raises(KeyboardInterrupt):
+                M.compact_days(spark, path, ["2024-01-01"] if step == "remove_folder" else ["2024-01-02"])
+        if step == "remove_folder":
+            write(spark.createDataFrame([(99, dt.datetime(2024, 1, 1))], "n int, at timestamp_ntz"), 5)  # the stream goes on
+    M.compact_days(spark, path, ["2024-01-01", "2024-01-02"])
+    assert held()[0] == sorted([*before, 99])
+    M.compact_days(spark, path, ["2024-01-01", "2024-01-02"])
+    days = [day for day, _ in held()[1]]
+    assert held()[0] == sorted([*before, 99]) and ("2024-01-01", 5) in held()[1] and days.count("2024-01-02") <= 2
+    write(spark.createDataFrame([(99, dt.datetime(2024, 1, 1))], "n int, at timestamp_ntz"), 5)  # the newest batch again
+    assert held()[0] == sorted([*before, 99])
