@@ -126,14 +126,13 @@ def view_sql(spark, folder):
     )
 
 
-@query("SELECT CAST(r_regionkey AS VARCHAR) AS r_regionkey, r_name, (SELECT count(*) FROM customer) AS customers FROM region")
+@query("SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name FROM customer")
 def guarded_read(spark, folder):
     """A missing folder is skipped; a present one is read."""
     path = scratch(spark, "csv")
     assert files.read_if_present(spark, path) is None
-    customers = table(spark, folder, "customer").agg(F.count(F.lit(1)).alias("customers"))
-    S.write_csv(table(spark, folder, "region"), path)
-    return files.read_if_present(spark, path).withColumn("customers", F.lit(customers.first()["customers"]).cast("bigint"))
+    S.write_csv(table(spark, folder, "customer").select("c_custkey", "c_name"), path)
+    return files.read_if_present(spark, path)
 
 
 @query("""SELECT to_json(props)->>'k' AS k, event_id FROM (SELECT event_id, CAST(props AS JSON) AS props FROM events

@@ -231,11 +231,11 @@ def daily_ingest(spark, folder):
     return spark.read.schema(S.with_day(rows, "created_at").schema).parquet(path)
 
 
-@query(with_roles("operating_companies", """SELECT toc_id, company_name, (SELECT count(*) FROM supplier) AS suppliers
-    FROM operating_companies"""))
+@query("SELECT CAST(s_suppkey AS INTEGER) AS s_suppkey, s_name FROM supplier")
 def seed_load(spark, folder):
-    """A typed CSV seed, beside the supplier count."""
-    path = scratch(spark, "seed")
-    S.write_csv(project(spark, folder).source("operating_companies"), path)
-    seed = files.read_csv_typed(spark, path, "toc_id int, company_name string")
-    return seed.withColumn("suppliers", F.lit(table(spark, folder, "supplier").count()).cast("bigint"))
+    """A CSV seed loaded into a table with declared types, and the table read."""
+    path, place = scratch(spark, "seed"), scratch(spark, "seeded")
+    S.write_csv(table(spark, folder, "supplier").select("s_suppkey", "s_name"), path)
+    name = f"seed_{place.rsplit('-', 1)[1]}"
+    S.load_seed(spark, path, "s_suppkey int, s_name string", name, place)
+    return spark.table(name)

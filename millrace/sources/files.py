@@ -32,7 +32,7 @@ def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType | str, s
 def read_csv_renamed(spark: SparkSession, path: str, names: Sequence[str], inferred: bool = True) -> DataFrame:
     """A file with an untidy header (quoted names, leading blanks), columns renamed by position.
 
-    Lines holding only blanks are dropped.
+    Lines holding only blanks are no rows; a row whose fields are all empty is one, of nulls.
     """
     rows = (
         spark.read.option("header", True)
@@ -41,7 +41,7 @@ def read_csv_renamed(spark: SparkSession, path: str, names: Sequence[str], infer
         .option("ignoreTrailingWhiteSpace", True)
         .csv(path)
     )
-    return rows.toDF(*names).dropna("all")
+    return rows.toDF(*names)
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:

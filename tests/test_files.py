@@ -267,3 +267,9 @@ def test_backfill_modes(spark):
     assert backfill.plan_days(days, log, "all").count() == 5
     with pytest.raises(ValueError, match="mode"):
         backfill.plan_days(days, log, "some")
+
+
+def test_rows_of_nulls_are_rows_and_blank_lines_are_none(spark, tmp_path):
+    path = tmp_path / "untidy.csv"
+    path.write_text('"a", "b"\n1, x\n\n   \n,\n2,\n')
+    assert rows(files.read_csv_renamed(spark, str(path), ["a", "b"])) == rows(spark.createDataFrame([(1, "x"), (None, None), (2, None)], "a int, b string"))
