@@ -261,6 +261,16 @@ def run_suite(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataF
     return united.withColumn("passed", F.col("failures") == 0)
 
 
+def row_differences(model: DataFrame, expected: DataFrame) -> DataFrame:
+    """Where a model of any size differs from the expected rows: each row with ``found`` and ``wanted``, how often it is
+    there and how often it should be. Rows are counted, so a repeated row is a difference too; nulls are equal."""
+    counted = model.withColumns({"_found": F.lit(1), "_wanted": F.lit(0)}).unionByName(
+        expected.withColumns({"_found": F.lit(0), "_wanted": F.lit(1)})
+    )
+    sides = counted.groupBy(*model.columns).agg(F.sum("_found").alias("found"), F.sum("_wanted").alias("wanted"))
+    return sides.filter(F.col("found") != F.col("wanted"))
+
+
 def expect_rows(model: DataFrame, expected: DataFrame) -> None:
     """Unit test of a model: raise unless it gives exactly the expected rows."""
     from pyspark.testing import assertDataFrameEqual

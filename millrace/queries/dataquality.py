@@ -171,3 +171,15 @@ def dq_suite(spark, folder):
     shop = project(spark, folder)
     tables = {name: shop.ref(f"stg_{name}") for name in ("users", "events", "orders", "order_items", "products")}
     return Q.run_suite(tables, CHECKS)
+
+
+@query("""WITH counts AS (SELECT o_custkey AS user_guid, count(DISTINCT o_orderkey) AS n FROM orders GROUP BY 1)
+    SELECT user_guid, n AS user_orders, CAST(1 AS BIGINT) AS found, CAST(0 AS BIGINT) AS wanted FROM counts WHERE user_guid % 10 = 0
+    UNION ALL SELECT user_guid, n + 1, 0, 1 FROM counts WHERE user_guid % 10 = 0""")
+def model_unit_test(spark, folder):
+    """A model against expected rows, of which those of every tenth user are wrong by one."""
+    model = project(spark, folder).ref("orders_per_user")
+    orders = table(spark, folder, "orders").groupBy(F.col("o_custkey").alias("user_guid"))
+    counted = orders.agg(F.count_distinct("o_orderkey").alias("user_orders"))
+    wrong = F.when(F.col("user_guid") % 10 == 0, 1).otherwise(0)
+    return Q.row_differences(model, counted.withColumn("user_orders", F.col("user_orders") + wrong))

@@ -208,3 +208,10 @@ def test_suite_reads_a_table_twice_however_many_keys_it_checks(spark, tmp_path):
     suite = Q.run_suite({"t": table}, [Q.Check("t", c, kind) for c in "abc" for kind in ("unique", "not_null")])
     assert suite._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2
     assert {(r["column_name"], r["check_name"]): r["failures"] for r in suite.collect() if r["failures"]} == {("a", "unique"): 1}
+
+
+def test_row_differences_count_repeats_and_nulls(spark):
+    model = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (3, "c")], "k int, v string")
+    expected = spark.createDataFrame([("a", 1), (None, 2), ("d", 3)], "v string, k int")
+    assert sorted(tuple(r) for r in Q.row_differences(model, expected).collect()) == [(1, "a", 2, 1), (3, "c", 1, 0), (3, "d", 0, 1)]
+    assert Q.row_differences(model, model).collect() == []
