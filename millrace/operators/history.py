@@ -16,8 +16,8 @@ from pyspark.sql import types as T
 from millrace.session import file_names, steps, write_record
 
 VALID_FROM, VALID_TO = "valid_from", "valid_to"
-CUTS = 64  # parts of a stored history's open versions, by a hash of the key
-RECORD = "version bigint, table_schema string, cuts array<struct<cut: int, generation: string>>, closed array<string>"
+CUTS = 16  # parts of a stored history's open versions, by a hash of the key
+RECORD = "version bigint, table_schema string, parts int, cuts array<struct<cut: int, generation: string>>, closed array<string>"
 
 
 def undated(source: DataFrame, key: str, ts: str) -> DataFrame:
@@ -93,27 +93,28 @@ def history_from_log(log: DataFrame, key: str, ts: str, bucket: str = "hour") ->
 class StoredHistory:
     """The history of one key's rows in a folder. One writer at a time.
 
-    Open versions lie in ``CUTS`` parts by a hash of the key, apart from closed ones. A run reads the source and the open
+    Open versions lie in ``parts`` parts by a hash of the key, apart from closed ones; their number is set when the
+    history is begun (take one that leaves some hundred megabytes a part) and kept with it. A run reads the source and the open
     versions once, rewrites the parts in which a key got a new version and adds the versions closed by it; closed
     versions are never read or written again. What it wrote counts from the moment its one small record is there.
 
     Layout: ``<root>/open/generation=<g>/cut=<n>/``, ``<root>/closed/generation=<g>/``, ``<root>/log/<version>.json``.
     """
 
-    def __init__(self, spark: SparkSession, root: str, key: str, ts: str):
+    def __init__(self, spark: SparkSession, root: str, key: str, ts: str, parts: int = CUTS):
         self.spark, self.root, self.key, self.ts = spark, root.rstrip("/"), key, ts
-        self.version, self.schema, self.cuts, self.closed = self._latest()
+        self.version, self.schema, self.cuts, self.closed, self.parts = self._latest(parts)
 
-    def _latest(self) -> tuple[int, T.StructType | None, dict[int, str], list[str]]:
+    def _latest(self, parts: int) -> tuple[int, T.StructType | None, dict[int, str], list[str], int]:
         names = sorted(n for n in file_names(self.spark, f"{self.root}/log") if n[:1].isdigit() and n.endswith(".json"))
         if not names:
-            return -1, None, {}, []
+            return -1, None, {}, [], parts
         record = self.spark.read.schema(RECORD).json(f"{self.root}/log/{names[-1]}").first()
         schema = T.StructType.fromJson(json.loads(record["table_schema"]))
-        return record["version"], schema, {cut: g for cut, g in record["cuts"]}, list(record["closed"])
+        return record["version"], schema, {cut: g for cut, g in record["cuts"]}, list(record["closed"]), record["parts"]
 
     def _cut(self) -> Column:
-        return F.pmod(F.xxhash64(self.key), F.lit(CUTS)).cast("int")
+        return F.pmod(F.xxhash64(self.key), F.lit(self.parts)).cast("int")
 
     def _read(self, part: str, schema: T.StructType, paths: list[str]) -> DataFrame:
         if not paths:
@@ -172,6 +173,7 @@ class StoredHistory:
         record = {
             "version": self.version + 1,
             "table_schema": self.schema.json(),
+            "parts": self.parts,
             "cuts": [{"cut": cut, "generation": g} for cut, g in sorted(held.items())],
             "closed": closed,
         }

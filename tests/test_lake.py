@@ -347,7 +347,8 @@ def test_stored_history_equals_the_history_of_frames(spark):
         assert sorted(map(tuple, stored.versions().collect()), key=repr) == sorted(map(tuple, frames.collect()), key=repr)
     assert changed[0] == 300 and changed[2:] == [1, 0] and stored.version == 2
     assert stored.versions().columns == frames.columns and stored.current().count() == 302
-    again = H.StoredHistory(spark, stored.root, "user_id", "updated_at")
+    again = H.StoredHistory(spark, stored.root, "user_id", "updated_at", parts=3)
+    assert again.parts == H.CUTS  # as begun
     assert again.run(spark.createDataFrame([("u50", "more", day(25))], USERS)) == 1
     assert again.versions().filter("user_id = 'u50' AND valid_to IS NULL").first()["name"] == "more"
 
