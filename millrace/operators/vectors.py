@@ -5,25 +5,24 @@ from __future__ import annotations
 import hashlib
 import sys
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions import vectors as V
 from millrace.operators.project import joined_text
-from millrace.session import cut_lineage
+from millrace.session import file_names, scratch, steps
 
-MAX_LOCAL_QUERIES = 2_000  # query vectors shipped to every task; more go through a shuffle
+BLOCK_QUERIES = 8_192  # query vectors shipped to the tasks at once, at most; half as many on average
 MODEL_BATCH = 512  # texts per model call
-MAX_MATCHES = 50_000  # (query, rank) rows that may be broadcast
-BLOCK_ROWS = 20_000  # base rows per cell of the shuffled form
-CHUNK_CELLS = 2_000_000  # numbers held at once while distances are computed
+CHUNK_CELLS = 1_000_000  # distances held at once
 REPEATED = "query ids are repeated"
 
 Embedder = Callable[[Sequence[str]], np.ndarray]
@@ -96,29 +95,6 @@ def nearest_to(
     return scored.orderBy(F.asc_nulls_last("distance"), id_column).limit(k).filter(F.col("distance").isNotNull())
 
 
-def _keep_best(ids, gaps, best, k):
-    """The ``k`` smallest (gap, id) pairs of ``best`` and the new rows."""
-    if len(gaps) > k:
-        near = np.flatnonzero(gaps <= np.partition(gaps, k - 1)[k - 1])
-        ids, gaps = ids[near], gaps[near]
-    if best is not None:
-        ids, gaps = np.concatenate([best[0], ids]), np.concatenate([best[1], gaps])
-    order = np.lexsort((ids, gaps))[:k]
-    return ids[order], gaps[order]
-
-
-def _scan_batch(ids, base, wanted, best, k, digits):
-    """Update the per-query best rows with one batch of base vectors."""
-    step = max(1, CHUNK_CELLS // max(1, base.shape[1]))
-    for start in range(0, len(base), step):
-        part, part_ids = base[start : start + step], ids[start : start + step]
-        for q, target in enumerate(wanted):
-            gaps = np.sqrt(np.square(part - target).sum(axis=1))
-            if digits is not None:
-                gaps = np.round(gaps, digits)
-            best[q] = _keep_best(part_ids, gaps, best[q], k)
-
-
 def _matrix(vectors) -> np.ndarray:
     lengths = vectors.value_lengths().unique()
     if len(lengths) > 1:
@@ -126,14 +102,86 @@ def _matrix(vectors) -> np.ndarray:
     return np.asarray(vectors.flatten(), dtype=float).reshape(len(vectors), -1)
 
 
-def _candidates(query_ids, best, types) -> pa.RecordBatch | None:
-    found = [(q, i, g) for q, pair in zip(query_ids, best) if pair is not None for i, g in zip(*pair)]
-    if not found:
-        return None
-    columns = list(zip(*found))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(list(c), type=t) for c, t in zip(columns, types)], names=["query_id", "base_id", "distance"]
-    )
+def _stored_blocks(queries: DataFrame, keep: Callable[[DataFrame], DataFrame]) -> Iterator[pa.Table]:
+    """``query_id, vector`` rows in stored blocks, of which the driver holds one at a time.
+
+    Ids are unique, so their hash deals them out evenly: a block has half of ``BLOCK_QUERIES`` rows on average.
+    """
+    known = keep(queries.dropna())
+    if not known.groupBy("query_id").count().filter("count > 1").isEmpty():
+        raise ValueError(REPEATED)
+    blocks = -(-2 * known.count() // BLOCK_QUERIES)
+    dealt = known.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(max(1, blocks))))
+    stored = keep(dealt.repartitionByRange(max(1, blocks), "block"))  # a block's rows lie together: others are not read
+    for block in range(blocks):
+        found = stored.filter(F.col("block") == block).select("query_id", "vector").toArrow()
+        if found.num_rows:
+            yield found.combine_chunks()
+
+
+def _first_of_each(found: pa.Table, k: int) -> pa.Table:
+    """The ``k`` smallest (distance, base_id) of every ``q``."""
+    found = found.sort_by([("q", "ascending"), ("distance", "ascending"), ("base_id", "ascending")])
+    q = found.column("q").to_numpy()
+    return found.filter(pa.array(np.arange(len(q)) - np.searchsorted(q, q) < k))
+
+
+def _scan_chunk(ids: pa.Array, part: np.ndarray, wanted: np.ndarray, best: pa.Table | None, k: int, digits: int | None):
+    """``best`` after one chunk of base rows.
+
+    One matrix product bounds all distances; those that may be among the ``k`` smallest are computed anew
+    from the differences, so the product's rounding never decides.
+    """
+    sizes, lengths = np.square(part).sum(axis=1), np.square(wanted).sum(axis=1)
+    near = sizes[:, None] + lengths[None, :]
+    slack = near * (part.shape[1] + 4) * 1e-15
+    near -= 2 * (part @ wanted.T)
+    bound = np.full(len(wanted), np.inf)
+    if len(part) >= k:
+        bound = np.sqrt(np.maximum(np.partition(near + slack, k - 1, axis=0)[k - 1], 0))
+    if best is not None:
+        q = best.column("q").to_numpy()
+        full = np.flatnonzero(np.bincount(q, minlength=len(wanted)) == k)
+        last = best.column("distance").to_numpy()[np.searchsorted(q, full, side="right") - 1]
+        bound[full] = np.minimum(bound[full], last)
+    rounding = 0.0 if digits is None else 10.0**-digits
+    rows, q = np.nonzero(near - slack <= np.square(bound + rounding)[None, :] * (1 + 1e-12))
+    gaps = np.sqrt(np.square(part[rows] - wanted[q]).sum(axis=1))
+    if digits is not None:
+        gaps = np.round(gaps, digits)
+    found = pa.table({"q": q, "base_id": ids.take(pa.array(rows)), "distance": gaps})
+    return _first_of_each(found if best is None else pa.concat_tables([best, found]), k)
+
+
+def _scan(base: DataFrame, block: pa.Table, k: int, digits: int | None, schema: T.StructType) -> DataFrame:
+    """The ``k`` best rows of every task for the queries of one block. The base is read where it lies."""
+    wanted = _matrix(block.column("vector").combine_chunks())
+    good = np.isfinite(wanted).all(axis=1)
+    names = block.column("query_id").combine_chunks().filter(pa.array(good))
+    shared = base.sparkSession.sparkContext.broadcast((names, wanted[good]))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, wanted = shared.value
+        best = None
+        step = max(1, CHUNK_CELLS // max(1, len(wanted)))
+        for batch in batches:
+            batch = batch.drop_null()
+            if not batch.num_rows or not len(wanted):
+                continue
+            ids, rows = batch.column("base_id"), _matrix(batch.column("vector"))
+            if rows.shape[1] != wanted.shape[1]:
+                raise ValueError(f"vectors differ in length: {[rows.shape[1], wanted.shape[1]]}")
+            finite = np.isfinite(rows).all(axis=1)
+            ids, rows = ids.filter(pa.array(finite)), rows[finite]
+            for start in range(0, len(rows), step):
+                best = _scan_chunk(ids[start : start + step], rows[start : start + step], wanted, best, k, digits)
+        if best is not None:
+            found = pa.table(
+                {"query_id": names.take(best.column("q")), "base_id": best["base_id"], "distance": best["distance"]}
+            )
+            yield from found.to_batches(max_chunksize=10_000)
+
+    return base.mapInArrow(scan, schema)
 
 
 def nearest_for_each(
@@ -144,14 +192,15 @@ def nearest_for_each(
     base_id: str = "vec_id",
     column: str = "embedding",
     digits: int | None = None,
-    max_local: int = MAX_LOCAL_QUERIES,
 ) -> DataFrame:
     """For every query row its ``k`` nearest base rows: query_id, rank, base_id, distance. Exact.
 
-    Up to ``max_local`` queries (counted first) are shipped to the tasks that scan the base; each task
-    emits ``k`` rows a query. More queries are cut into blocks and met with blocks of the base in a
-    shuffled co-group, so neither side has to fit anywhere. Vectors must share one length; rows with
-    null vectors are left out. Repeated query ids are refused, as their matches could not be told apart.
+    One way at every size: queries are stored in blocks; for each block the tasks read the base where it lies, a
+    chunk at a time, and write their best ``k`` rows for each of its queries to the shared folder. The base never
+    moves, and what is shipped or held is one block and one chunk. A block costs one scan of the base, whose
+    reading is little beside its ``BLOCK_QUERIES / 2`` distances a row.
+    Vectors must share one length; null vectors and those with non-finite components are left out. Repeated query
+    ids are refused, as their matches could not be told apart.
     ``digits`` rounds distances before ranking, which makes near-ties stable.
     """
     queries = queries.select(F.col(query_id).alias("query_id"), F.col(column).alias("vector"))
@@ -163,73 +212,15 @@ def nearest_for_each(
             T.StructField("distance", T.DoubleType()),
         ]
     )
-    few = queries.limit(max_local + 1).collect()
-    local = len(few) <= max_local
-    if local:
-        known = [row for row in few if row[0] is not None and row[1] is not None]
-        if len({row[0] for row in known}) < len(known):
-            raise ValueError(REPEATED)
-        found = _local_candidates([r[0] for r in known], [r[1] for r in known], base, k, digits, schema)
-    else:
-        if not queries.dropna().groupBy("query_id").count().filter("count > 1").isEmpty():
-            raise ValueError(REPEATED)
-        found = _block_candidates(queries, base, k, digits, schema, max_local)
+    spark = base.sparkSession
+    found = scratch(spark, "nearest")
+    with steps(spark) as keep:
+        for block in _stored_blocks(queries, keep):
+            _scan(base, block, k, digits, schema).write.mode("append").parquet(found)
+    spark.createDataFrame([], schema).write.mode("append").parquet(found)  # the folder is there without a query, too
     window = Window.partitionBy("query_id").orderBy("distance", "base_id")
-    ranked = found.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k)
-    matches = ranked.select("query_id", "rank", "base_id", "distance")
-    # k rows for each counted query: small enough to travel to whatever the matches are joined with.
-    return F.broadcast(matches) if local and len(few) * k <= MAX_MATCHES else matches
-
-
-def _arrow_types(schema: T.StructType):
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    return [to_arrow_type(f.dataType) for f in schema.fields]
-
-
-def _local_candidates(query_ids, vectors, base, k, digits, schema) -> DataFrame:
-    wanted = np.asarray(vectors, dtype=float)
-    types = _arrow_types(schema)
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = [None] * len(wanted)
-        for batch in batches:
-            batch = batch.drop_null()
-            if batch.num_rows and len(wanted):
-                ids = batch.column("base_id").to_numpy(zero_copy_only=False)
-                _scan_batch(ids, _matrix(batch.column("vector")), wanted, best, k, digits)
-        found = _candidates(query_ids, best, types)
-        if found is not None:
-            yield found
-
-    return base.mapInArrow(scan, schema)
-
-
-def _block_candidates(queries, base, k, digits, schema, max_local) -> DataFrame:
-    queries, base = cut_lineage(queries), cut_lineage(base)  # counted, then read: computed once
-    query_blocks = -(-queries.count() // max_local)
-    base_blocks = max(1, -(-base.count() // BLOCK_ROWS))
-    types = _arrow_types(schema)
-
-    def spread(df: DataFrame, mine: str, blocks: int, other: str, others: int) -> DataFrame:
-        own = F.pmod(F.xxhash64(df.columns[0]), F.lit(blocks)).alias(mine)
-        return df.select("*", own, F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other))
-
-    left = spread(queries, "qb", query_blocks, "bb", base_blocks).groupBy("qb", "bb")
-    right = spread(base, "bb", base_blocks, "qb", query_blocks).groupBy("qb", "bb")
-
-    def meet(q: pa.Table, b: pa.Table) -> pa.Table:
-        q, b = q.drop_null(), b.drop_null()
-        empty = pa.RecordBatch.from_arrays([pa.array([], t) for t in types], names=schema.names)
-        if not q.num_rows or not b.num_rows:
-            return pa.Table.from_batches([empty])
-        best = [None] * q.num_rows
-        ids = b.column("base_id").to_numpy()
-        base_vectors = _matrix(b.column("vector").combine_chunks())
-        _scan_batch(ids, base_vectors, _matrix(q.column("vector").combine_chunks()), best, k, digits)
-        return pa.Table.from_batches([_candidates(q.column("query_id").to_pylist(), best, types) or empty])
-
-    return left.cogroup(right).applyInArrow(meet, schema)
+    ranked = spark.read.schema(schema).parquet(found).withColumn("rank", F.row_number().over(window))
+    return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "base_id", "distance")
 
 
 def approximate_nearest(
@@ -259,27 +250,86 @@ def approximate_nearest(
 
 
 def similarity_rows(
-    df: DataFrame, anchors: Sequence[Sequence[float]], column: str = "embedding", name: str = "similarities"
+    df: DataFrame, anchors: DataFrame, anchor_id: str, column: str = "embedding", name: str = "similarities"
 ) -> DataFrame:
-    """Rows of a similarity matrix: the cosine similarity of every row to each of a short list of anchors.
+    """Rows of a similarity matrix, in blocks of anchors: ``name`` is an array of (anchor, similarity), by anchor.
 
-    One output row per input row, so nothing multiplies; the list of anchors is a literal.
+    ``anchors`` has an id and a vector called ``column``. There is one output row for each row of ``df`` and block
+    of at most about ``BLOCK_QUERIES`` anchors, so a row stays bounded however many anchors there are; ``df`` is
+    read where it lies, once a block. Similarity is null where a vector is all zeros or not finite. Rows of ``df``
+    without a vector are left out, as are anchors without one; without anchors there are no rows.
     """
-    if len(anchors) > MAX_LOCAL_QUERIES:
-        raise ValueError("too many anchors for one literal; use nearest_for_each")
-    matrix = np.asarray(anchors, dtype=float)
-    lengths = np.sqrt((matrix**2).sum(axis=1))
+    queries = anchors.select(F.col(anchor_id).alias("query_id"), F.col(column).alias("vector"))
+    cell = T.StructType([T.StructField("anchor", queries.schema["query_id"].dataType), T.StructField("similarity", T.DoubleType())])
+    rows = df.filter(F.col(column).isNotNull())
+    spark = df.sparkSession
+    with steps(spark) as keep:
+        parts = [_similar(rows, block, column, name, cell) for block in _stored_blocks(queries, keep)]
+    if not parts:
+        return rows.withColumn(name, F.lit(None).cast(T.ArrayType(cell))).limit(0)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _similar(rows: DataFrame, block: pa.Table, column: str, name: str, cell: T.StructType) -> DataFrame:
+    block = block.sort_by("query_id")
+    matrix = _matrix(block.column("vector").combine_chunks())
+    with np.errstate(all="ignore"):
+        unit = matrix / np.sqrt(np.square(matrix).sum(axis=1, keepdims=True))
+    ids = block.column("query_id").combine_chunks()
+    shared = rows.sparkSession.sparkContext.broadcast(unit)
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def similarities(vectors: pd.Series) -> pd.Series:
-        rows = np.stack(vectors.to_numpy()).astype(float)
-        scale = np.sqrt((rows**2).sum(axis=1))[:, None] * lengths[None, :]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            values = (rows @ matrix.T) / scale
-        return pd.Series(list(values))
+    def similarities(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        unit = shared.value
+        step = max(1, CHUNK_CELLS // max(1, len(unit)))
+        for vectors in batches:
+            if vectors.map(len).ne(unit.shape[1]).any():
+                raise ValueError("vectors differ in length")
+            found = []
+            for start in range(0, len(vectors), step):
+                part = np.stack(vectors.iloc[start : start + step].to_numpy()).astype(float)
+                with np.errstate(all="ignore"):
+                    found.extend((part / np.sqrt(np.square(part).sum(axis=1, keepdims=True))) @ unit.T)
+            yield pd.Series(found, index=vectors.index, dtype=object)
+
+    named = F.lit(ids.to_pylist()) if len(ids) else F.array()
+    pairs = F.zip_with(
+        named, similarities(F.col(column)), lambda a, x: F.struct(a.alias("anchor"), F.nullif(x, F.lit(float("nan"))).alias("similarity"))
+    )
+    return rows.withColumn(name, pairs.cast(T.ArrayType(cell)))
+
+
+class VectorStore:
+    """Vectors kept by the digest of their text: a text is embedded once, whatever rows hold it.
+
+    ``path`` is a folder that all executors reach; ``model`` names the embedder, as vectors of one model are of
+    no use to another. Runs only add files, so a run that dies leaves a store that is right, and two runs at a
+    time may write a vector twice, which readers see once.
+    """
+
+    SCHEMA = "digest string, embedding array<double>"
+
+    def __init__(self, spark: SparkSession, path: str, model: str = "hashed_words_64", embedder: Embedder | None = None):
+        self.spark, self.path, self.embedder = spark, f"{path.rstrip('/')}/model={model}", embedder
+
+    def read(self) -> DataFrame:
+        """``digest, embedding``, one row a digest."""
+        if not file_names(self.spark, self.path):
+            return self.spark.createDataFrame([], self.SCHEMA)
+        return self.spark.read.schema(self.SCHEMA).parquet(self.path).dropDuplicates(["digest"])
+
+    def add(self, texts: DataFrame, text: str = "text") -> None:
+        """Embed the texts whose digests are not there yet, each once. Null texts have no vector."""
+        asked = texts.select(F.sha2(F.col(text), 256).alias("digest"), F.col(text).alias("text")).dropna()
+        new = asked.join(self.read().select("digest"), "digest", "left_anti").dropDuplicates(["digest"])
+        embedded = embed_text(new, "text", self.embedder).select("digest", "embedding")
+        embedded.write.mode("append").parquet(self.path)
 
-    found = F.transform(similarities(F.col(column)), lambda x: F.nullif(x, F.lit(float("nan"))))
-    return df.filter(F.col(column).isNotNull()).withColumn(name, found)
+    def vectors(self, df: DataFrame, text: str = "text", name: str = "embedding") -> DataFrame:
+        """``df`` with the stored vector of its text, null where there is none. ``add`` first."""
+        digest = f"_digest_of_{name}"
+        stored = self.read().select(F.col("digest").alias(digest), F.col("embedding").alias(name))
+        return df.withColumn(digest, F.sha2(F.col(text), 256)).join(stored, digest, "left").drop(digest)
 
 
 # -- retrieval ----------------------------------------------------------------------------------
@@ -288,7 +338,7 @@ def similarity_rows(
 def retrieval_context(matches: DataFrame, base: DataFrame, base_id: str, text: str) -> DataFrame:
     """Per query the texts of its matches, nearest first, joined by `` / ``.
 
-    ``matches`` comes from ``nearest_for_each``, which marks a counted, small result for broadcast.
+    ``matches`` comes from ``nearest_for_each``, which stores them, so Spark knows how large they are.
     """
     named = matches.join(base.select(F.col(base_id).alias("base_id"), F.col(text).alias("context")), "base_id")
     return joined_text(named, "context", " / ", groups=["query_id"])

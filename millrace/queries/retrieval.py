@@ -6,7 +6,7 @@ from millrace.functions import vectors as V
 from millrace.operators import vectors as R
 from millrace.plans.bindings import table
 from millrace.queries.registry import query
-from millrace.session import scratch, spread
+from millrace.session import scratch, shared_folder, spread
 
 FIRST = "(SELECT CAST(embedding AS DOUBLE[]) FROM embeddings WHERE vec_id = 0)"
 
@@ -58,13 +58,10 @@ def batch_topk(spark, folder):
      FROM embeddings, means m) GROUP BY 1""")
 def similarity_rows(spark, folder):
     """Similarity of every row to each label's mean, reduced to the best one."""
-    means = sorted(_label_means(spark, folder).limit(R.MAX_LOCAL_QUERIES + 1).collect(), key=lambda row: row["label"])
-    rows = R.similarity_rows(table(spark, folder, "embeddings"), [row["embedding"] for row in means])
-    rounded = rows.withColumn("similarities", F.transform("similarities", lambda s: F.round(s, 6)))
-    best = F.array_max("similarities")
-    labels = F.array(*[F.lit(row["label"]) for row in means])
-    position = F.array_position("similarities", best).cast("int")
-    return rounded.select("vec_id", best.alias("best_similarity"), F.get(labels, position - 1).alias("best_label"))
+    rows = R.similarity_rows(table(spark, folder, "embeddings"), _label_means(spark, folder), "label")
+    best = F.array_max(F.transform("similarities", lambda s: F.struct(F.round(s["similarity"], 6).alias("s"), s["anchor"].alias("a"))))
+    scored = rows.groupBy("vec_id").agg(F.max(best).alias("best"))  # a row for every block of labels
+    return scored.select("vec_id", F.col("best.s").alias("best_similarity"), F.col("best.a").alias("best_label"))
 
 
 @query()
@@ -116,10 +113,12 @@ def store_vectors(spark, folder):
     FROM ranked r JOIN documents d ON r.doc_id = d.doc_id JOIN benchmark q ON q.item_id = r.item_id
     WHERE rank <= 3 GROUP BY 1""")
 def rag_context(spark, folder):
-    """For every benchmark question a prompt holding its three nearest documents."""
+    """For every benchmark question a prompt holding its three nearest documents; only texts new to the store are embedded."""
     questions, documents = table(spark, folder, "benchmark"), table(spark, folder, "documents")
-    asked = R.embed_text(questions.select("item_id", "text"), "text")
-    base = R.embed_text(spread(documents.select("doc_id", "text")), "text")
+    store = R.VectorStore(spark, f"{shared_folder(spark)}/millrace/vector-store")
+    store.add(spread(documents.select("text").unionByName(questions.select("text"))))
+    asked = store.vectors(questions.select("item_id", "text"))
+    base = store.vectors(documents.select("doc_id", "text")).drop("text")
     matches = R.nearest_for_each(asked, base, 3, "item_id", "doc_id", digits=6)
     contexts = R.retrieval_context(matches, documents, "doc_id", "text")
     return R.prompt(contexts, questions, "item_id", "text")
