@@ -185,3 +185,26 @@ def html_cell_texts(spark, folder):
     total = F.aggregate("cells", F.lit(0).cast("bigint"), lambda n, x: n + F.length(x))
     return rows.select("page_id", "item", F.size("cells").alias("cell_count"), total.alias("cell_length"))
 
+
+
+@query("""WITH cut AS (SELECT page_id, unnest(string_split(html, '<div class="ad">')[2:]) AS rest,
+      generate_subscripts(string_split(html, '<div class="ad">')[2:], 1) AS n FROM pages)
+    SELECT page_id, CAST(n - 1 AS INTEGER) AS item, string_split(rest, '</div>')[1] AS inner FROM cut""")
+def html_by_class(spark, folder):
+    """What the elements of one class hold, in every page."""
+    pages = table(spark, folder, "pages").select("page_id", "html")
+    return html.elements(pages, "html", html.Selector("div", ["ad"])).drop("opening")
+
+
+@query("""WITH menu AS (SELECT page_id, string_split(string_split(html, '<nav>')[2], '</nav>')[1] AS nav FROM pages),
+    cut AS (SELECT page_id, unnest(string_split(nav, '<a href="')[2:]) AS rest,
+      generate_subscripts(string_split(nav, '<a href="')[2:], 1) AS n FROM menu)
+    SELECT page_id, CAST(n - 1 AS INTEGER) AS item, string_split(rest, '"')[1] AS url,
+      string_split(string_split(rest, '>')[2], '<')[1] AS title FROM cut""")
+def html_menu_entries(spark, folder):
+    """Links of the entries of every page's menu: list items inside one element, read by selectors."""
+    pages = table(spark, folder, "pages").select("page_id", "html")
+    menus = html.elements(pages, "html", html.Selector("nav")).select("page_id", "inner")
+    link = [html.Selector("a", (), {"href": None})]
+    parts = {"url": html.Part(link, attribute="href"), "title": html.Part(link)}
+    return html.selected_listing(menus, "inner", html.Selector("li"), parts)

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -273,3 +274,77 @@ def test_rows_of_nulls_are_rows_and_blank_lines_are_none(spark, tmp_path):
     path = tmp_path / "untidy.csv"
     path.write_text('"a", "b"\n1, x\n\n   \n,\n2,\n')
     assert rows(files.read_csv_renamed(spark, str(path), ["a", "b"])) == rows(spark.createDataFrame([(1, "x"), (None, None), (2, None)], "a int, b string"))
+
+
+NESTED = """<UL class='menu'><li class="x y" id=one>first <b>bold</b><ul><li class="y">inner</li><li class=x>deep</li></ul> tail</li>
+<!-- <li class="x">hidden</li> --><script>var t = '<li class="x">no</li>';</script></li>
+<li data-class="x">other</li><li title="a > b" class="y  x"><a href='/second'>second</a></li><LI CLASS="x">open"""
+
+
+def test_elements_by_class_and_nesting(spark):
+    pages = spark.createDataFrame([(1, NESTED), (2, "<p>nothing</p>"), (3, None), (4, "")], "page_id int, html string")
+    found = html.elements(pages, "html", html.Selector("li", ["x"])).orderBy("page_id", "item").collect()
+    assert [(r["page_id"], r["item"], r["inner"]) for r in found] == [
+        (1, 0, 'first <b>bold</b><ul><li class="y">inner</li><li class=x>deep</li></ul> tail'),
+        (1, 1, "deep"),
+        (1, 2, "<a href='/second'>second</a>"),
+        (1, 3, "open"),
+    ]
+    assert [r["opening"] for r in found][2:] == ['<li title="a > b" class="y  x">', '<LI CLASS="x">']
+    both = html.elements(pages, "html", html.Selector("li", ["x", "y"])).collect()
+    assert [r["inner"][:5] for r in both] == ["first", "<a hr"]
+    assert html.elements(pages, "html", html.Selector("li", (), {"id": "one"})).count() == 1
+    assert html.elements(pages, "html", html.Selector("li", (), {"class": None})).count() == 5
+    assert html.elements(pages, "html", html.Selector("l")).count() == 0
+
+
+def test_selected_listing_falls_back_to_a_second_selector(spark):
+    page = (
+        '<div class="card"><div class="name"> A <i>b</i></div><span class="price">1,200 kr</span><a href="/a">go</a></div>'
+        '<div class="card"><div class="name">C</div><span class="price"> </span><span class="hot">950 kr</span></div>'
+    )
+    pages = spark.createDataFrame([(1, page)], "page_id int, html string")
+    parts = {
+        "name": html.Part([html.Selector("div", ["name"])]),
+        "price": html.Part([html.Selector("span", ["price"]), html.Selector("span", ["hot"])], suffixes=[" kr"]),
+        "url": html.Part([html.Selector("a")], attribute="href"),
+    }
+    found = html.selected_listing(pages, "html", html.Selector("div", ["card"]), parts).orderBy("item").collect()
+    assert [(r["item"], r["name"], r["price"], r["url"]) for r in found] == [(0, "A b", "1200", "/a"), (1, "C", "950", None)]
+
+
+def test_elements_equal_a_parser(spark):
+    from html.parser import HTMLParser
+
+    class Divs(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.open, self.found = [], []
+
+        def handle_starttag(self, tag, attrs):
+            if tag == "div":
+                self.found.append([dict(attrs).get("class"), ""])
+                self.open.append(len(self.found) - 1)
+
+        def handle_endtag(self, tag):
+            if tag == "div" and self.open:
+                self.open.pop()
+
+        def handle_data(self, data):
+            for i in self.open:
+                self.found[i][1] += data
+
+    rng = np.random.default_rng(8)
+    parts = ["<div>", '<div class="a">', "<div class='a b'>", "<p>", "</div>", "</div>", "word ", "1 < 2 ", "<!-- </div> -->"]
+    texts = ["".join(rng.choice(parts, int(rng.integers(0, 30)))) for _ in range(200)]
+    pages = spark.createDataFrame(list(enumerate(texts)), "page_id int, html string")
+    rows = html.elements(pages, "html", html.Selector("div", ["a"])).withColumn("text", html.text_of(F.col("inner")))
+    found = {}
+    for row in rows.orderBy("page_id", "item").collect():
+        found.setdefault(row["page_id"], []).append(row["text"])
+    for number, text in enumerate(texts):
+        parser = Divs()
+        parser.feed(text)
+        parser.close()
+        wanted = [" ".join(t.split()) for c, t in parser.found if c and "a" in c.split()]
+        assert found.get(number, []) == wanted, text
