@@ -12,8 +12,11 @@ which documents of one region can be close to those of another:
    linked to it and need no comparing with each other. A document further than 2r from it can have no link into
    the ball. One between r and 2r (the ring) is compared with those members of the ball that the triangle
    inequality leaves.
-3. Documents outside the ball go on to the next round: small regions end with a direct join, large ones become one
-   region per pivot document, get several new pivots, and what those leave over is joined directly.
+3. Documents outside the ball go on: small regions end with a direct join, large ones become one region per pivot
+   document and get several new pivot documents. What those leave over of a large region is cut into regions as at
+   first, by the shingles that few of its own members have, and these join in the same way, down to small regions.
+   A region that its shingles do not halve (its members are about equally far from each other) is joined directly,
+   cut into tiles, so that its pairs are spread over many tasks.
 
 The pivot of a region is its most typical member, the one with the smallest share of rare shingles, so the original
 of many edited copies comes before the copies.
@@ -50,7 +53,8 @@ SALT_AT = 57  # first of the bits of a frequent shingle that its salt changes
 PARTNER_STEPS = 64  # of a document's size, in which the size of its largest partner is rounded up
 BATCH_ROWS = 512  # texts, or pairs with their sets, that a task holds at once
 SMALL_REGION = 32  # documents that are joined directly
-ROUNDS = 1  # further rounds of large regions
+TILE = 512  # documents of a region without smaller regions that are joined with as many others at once
+EXPLODED = 1 << 18  # shingles that a task hands over at once
 PIVOTS = 8  # of a large region in a further round, on average
 
 ship(__name__)
@@ -236,7 +240,7 @@ class _Distances:
         bounded = self.work.keep(self._bounded(pairs))
         r = 1 - self.similarity
         near = bounded.where(F.col("low") <= float(r) + 1e-9).select("a", "b", "na", "nb")
-        self._fetch(near)
+        self._fetch(near.select(F.col("a").alias("c")).union(near.select("b")))
         common = self._common(near)
         union = F.col("na") + F.col("nb") - F.col("both")
         linked = common.where(
@@ -261,8 +265,28 @@ class _Distances:
         low = F.greatest(2 * F.col("differ") / (F.col("na") + F.col("nb") + F.col("differ")), by_size)
         return met.select("a", "b", "na", "nb", low.alias("low")).where(F.col("low") <= reach)
 
-    def _fetch(self, near: DataFrame) -> None:
-        wanted = near.select(F.col("a").alias("c")).union(near.select("b")).distinct()
+    def shingles(self, members: DataFrame) -> DataFrame:
+        """``g, c, n, size, s``: a row for each shingle s of each of the members ``g, c, n, size``."""
+        self._fetch(members.select("c"))
+
+        def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                items = [np.frombuffer(x.as_py(), np.int64) for x in batch.column("items")]
+                first, held = 0, 0
+                for row, own in enumerate(items, 1):
+                    held += len(own)
+                    if held >= EXPLODED or row == len(items):
+                        rows = pa.array(np.repeat(np.arange(first, row), [len(x) for x in items[first:row]]))
+                        columns = [batch.column(name).take(rows) for name in ("g", "c", "n", "size")]
+                        found = pa.array(np.concatenate(items[first:row]))
+                        yield pa.RecordBatch.from_arrays([*columns, found], ["g", "c", "n", "size", "s"])
+                        first, held = row, 0
+
+        rows = members.join(self.sets, "c").select("g", "c", "n", "size", "items")
+        return rows.mapInArrow(explode, "g long, c long, n long, size long, s long")
+
+    def _fetch(self, classes: DataFrame) -> None:
+        wanted = classes.distinct()
         if self.sets is not None:
             wanted = wanted.join(self.sets.select("c"), "c", "left_anti")
         wanted = self.work.keep(wanted.join(self.classes, "c").select("c", "n", *_KEY))
@@ -321,8 +345,8 @@ def _both_ways(pairs: DataFrame) -> DataFrame:
 
 
 def _recurse(members: DataFrame, distances: _Distances, work: Workspace) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Ball after ball: ``compared`` (``c, q, low, d``; q a pivot), and what the balls leave over of small and of large
-    regions (``g, c, n``)."""
+    """Ball after ball: ``compared`` (``c, q, low, d``; q a pivot), and what the balls leave over of small regions
+    (``g, c, n, most``) and of large ones that cannot be cut (``g, c, n, size``)."""
     alike = F.least("n", "np") >= F.greatest("n", "np") * F.lit(2 * float(distances.similarity) - 1 - 1e-9)
     compared = _both_ways(distances.compare(_unordered(members.where(alike), "c", "p", F.col("several"))))
     links = compared.where("d is not null").select("c", F.col("q").alias("p"))
@@ -333,20 +357,61 @@ def _recurse(members: DataFrame, distances: _Distances, work: Workspace) -> tupl
     small = left.where(F.col("size") <= SMALL_REGION).select("g", "c", "n", "most")
     # Regions with one pivot overlap in most members: they go on as one.
     large = work.keep(left.where(F.col("size") > SMALL_REGION).select(F.col("p").alias("g"), "c", "n").distinct())
-    for turn in range(ROUNDS):
-        sizes = large.groupBy("g").agg(F.count("*").alias("size"), F.min("c").alias("least"))
-        drawn = F.pmod(F.xxhash64("c", F.lit(turn)), F.lit(1 << 30)) * F.col("size") < F.lit(PIVOTS << 30)
-        chosen = large.join(sizes, "g").where((F.col("c") == F.col("least")) | drawn)
-        chosen = chosen.select("g", F.col("c").alias("q"), F.col("n").alias("nq"))
-        alike = F.least("n", "nq") >= F.greatest("n", "nq") * F.lit(2 * float(distances.similarity) - 1 - 1e-9)
-        met = work.keep(large.join(chosen, "g").where((F.col("c") != F.col("q")) & alike).select("g", "c", "q"))
-        more = _both_ways(distances.compare(_unordered(met, "c", "q", F.lit(True))))
-        links = more.where("d is not null").select("c", "q")
-        inside = met.join(links, ["c", "q"], "left_semi").select("g", "c")
-        gone = inside.unionByName(chosen.select("g", F.col("q").alias("c"))).distinct()
-        large = work.keep(large.join(gone, ["g", "c"], "left_anti"))
-        compared = compared.unionByName(more)
-    return work.keep(compared), small, large
+    stuck, turn = None, 0
+    while not large.isEmpty():
+        more, left = _further_balls(large, turn, distances, work)
+        compared, turn = compared.unionByName(more), turn + 1
+        few, large, rest = _subregions(left, distances, work)
+        small = small.unionByName(few)
+        stuck = rest if stuck is None else stuck.unionByName(rest)
+    if stuck is None:
+        stuck = large.withColumn("size", F.lit(0).cast("long"))
+    return work.keep(compared), small, stuck
+
+
+def _further_balls(large: DataFrame, turn: int, distances: _Distances, work: Workspace) -> tuple[DataFrame, DataFrame]:
+    """One round of several pivots a region: what was compared, and the members ``g, c, n`` outside the balls."""
+    sizes = large.groupBy("g").agg(F.count("*").alias("size"), F.min("c").alias("least"))
+    drawn = F.pmod(F.xxhash64("c", F.lit(turn)), F.lit(1 << 30)) * F.col("size") < F.lit(PIVOTS << 30)
+    chosen = large.join(sizes, "g").where((F.col("c") == F.col("least")) | drawn)
+    chosen = chosen.select("g", F.col("c").alias("q"), F.col("n").alias("nq"))
+    alike = F.least("n", "nq") >= F.greatest("n", "nq") * F.lit(2 * float(distances.similarity) - 1 - 1e-9)
+    met = work.keep(large.join(chosen, "g").where((F.col("c") != F.col("q")) & alike).select("g", "c", "q"))
+    more = _both_ways(distances.compare(_unordered(met, "c", "q", F.lit(True))))
+    links = more.where("d is not null").select("c", "q")
+    inside = met.join(links, ["c", "q"], "left_semi").select("g", "c")
+    gone = inside.unionByName(chosen.select("g", F.col("q").alias("c"))).distinct()
+    return more, work.keep(large.join(gone, ["g", "c"], "left_anti"))
+
+
+def _subregions(left: DataFrame, distances: _Distances, work: Workspace) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The members ``g, c, n`` in regions of their own region's shingles: ``few`` (``g, c, n, most``) of small regions,
+    ``deeper`` (``g, c, n``) of large ones, and ``stuck`` (``g, c, n, size``), regions that are not halved.
+
+    A document is copied to its first floor(r * n) + 1 shingles, those first that few members of the region have. The
+    regions that go deeper have half of the members at most, so the recursion ends."""
+    missing = 1 - distances.similarity
+    num, den = distances.similarity.numerator, distances.similarity.denominator
+    sizes = left.groupBy("g").agg(F.count("*").alias("size")).where("size > 1")
+    left = work.keep(left.join(sizes, "g"))
+    few = left.where(F.col("size") <= SMALL_REGION).select("g", "c", "n", F.floor(F.col("n") * den / num).alias("most"))
+    rows = work.keep(distances.shingles(left.where(F.col("size") > SMALL_REGION)))
+    shared = rows.groupBy("g", "s").agg(F.count("*").alias("df"))
+    place = F.row_number().over(Window.partitionBy("g", "c").orderBy("df", "s"))
+    wanted = F.floor(F.col("n") * missing.numerator / missing.denominator) + 1
+    met = rows.join(shared, ["g", "s"]).withColumn("place", place).where((F.col("place") <= wanted) & (F.col("df") > 1))
+    # All shingles before the place are missing in a document first met there: see ``_first_pivots``.
+    most = F.floor((F.col("n") - F.col("place") + 1) * (num + den) / num) - F.col("n")
+    met = met.select(F.col("g").alias("top"), F.xxhash64("g", "s").alias("g"), "c", "n", "size", most.alias("most"))
+    met = work.keep(met)
+    sizes = met.groupBy("top", "g").agg(F.count("*").alias("own"), F.max("size").alias("size")).where("own > 1")
+    stuck = sizes.where((F.col("own") > SMALL_REGION) & (2 * F.col("own") > F.col("size"))).select("top").distinct()
+    sizes = sizes.join(stuck, "top", "left_anti").select("top", "g", "own")
+    met = work.keep(met.drop("size").join(sizes, ["top", "g"]))
+    few = few.unionByName(met.where(F.col("own") <= SMALL_REGION).select("g", "c", "n", "most"))
+    deeper = met.where(F.col("own") > SMALL_REGION).select("g", "c", "n").distinct()
+    rest = left.join(stuck.withColumnRenamed("top", "g"), "g", "left_semi").select("g", "c", "n", "size")
+    return work.keep(few), work.keep(deeper), work.keep(rest)
 
 
 def _undecided(
@@ -376,8 +441,12 @@ def _undecided(
     ball = end(compared.where("d is not null").select("q", "c", "d"), "x")
     ring = end(compared.where("d is null").select("q", "c", "low"), "y")
     across = ball.join(ring, "q").where((F.col("low") <= F.col("d") + F.lit(float(r) + 1e-9)) & open_)
-    left_over = large.select("g", "c")
-    direct = end(left_over, "x").join(end(left_over, "y"), "g").where((F.col("cx") < F.col("cy")) & open_)
+    tiles = F.ceil(F.col("size") / TILE)
+    tiled = large.withColumn("own", F.pmod(F.xxhash64("c"), tiles)).withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
+    tiled = tiled.select("g", "c", "own", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
+    ours, theirs = end(tiled, "x").withColumnRenamed("own", "ownx"), end(tiled, "y").withColumnRenamed("own", "owny")
+    once = (F.col("ownx") != F.col("owny")) | (F.col("lo") == F.col("hi"))  # one tile's pairs meet in its own place only
+    direct = ours.join(theirs, ["g", "lo", "hi"]).where((F.col("cx") < F.col("cy")) & once & open_)
     fits = (F.col("nx") <= F.col("mosty")) & (F.col("ny") <= F.col("mostx"))
     near = side("x").join(side("y"), "g").where((F.col("cx") < F.col("cy")) & apart & fits)
     pairs = [found.select("cx", "cy") for found in (across, direct, near)]
