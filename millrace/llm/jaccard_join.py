@@ -13,10 +13,10 @@ which documents of one region can be close to those of another:
    the ball. One between r and 2r (the ring) is compared with those members of the ball that the triangle
    inequality leaves.
 3. Documents outside the ball go on: small regions end with a direct join, large ones become one region per pivot
-   document and get several new pivot documents. What those leave over of a large region is cut into regions as at
-   first, by the shingles that few of its own members have, and these join in the same way, down to small regions.
-   A region that its shingles do not halve (its members are about equally far from each other) is joined directly,
-   cut into tiles, so that its pairs are spread over many tasks.
+   document and get several new pivot documents. What those leave over of a region is joined by sketches if it fits
+   one tile; else it is cut into regions as at first, by the shingles that few of its own members have, and these
+   join in the same way. A region that its shingles do not halve (its members are about equally far from each other)
+   is joined by sketches too, tile with tile, so that its pairs are spread over many tasks.
 
 The pivot of a region is its most typical member, the one with the smallest share of rare shingles, so the original
 of many edited copies comes before the copies.
@@ -53,7 +53,7 @@ SALT_AT = 57  # first of the bits of a frequent shingle that its salt changes
 PARTNER_STEPS = 64  # of a document's size, in which the size of its largest partner is rounded up
 BATCH_ROWS = 512  # texts, or pairs with their sets, that a task holds at once
 SMALL_REGION = 32  # documents that are joined directly
-TILE = 512  # documents of a region without smaller regions that are joined with as many others at once
+TILE = 512  # documents that are joined with as many others at once; larger regions are cut before
 EXPLODED = 1 << 18  # shingles that a task hands over at once
 PIVOTS = 8  # of a large region in a further round, on average
 
@@ -346,7 +346,7 @@ def _both_ways(pairs: DataFrame) -> DataFrame:
 
 def _recurse(members: DataFrame, distances: _Distances, work: Workspace) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Ball after ball: ``compared`` (``c, q, low, d``; q a pivot), and what the balls leave over of small regions
-    (``g, c, n, most``) and of large ones that cannot be cut (``g, c, n, size``)."""
+    (``g, c, n, most``) and of those that are joined in tiles (``g, c, n, size``)."""
     alike = F.least("n", "np") >= F.greatest("n", "np") * F.lit(2 * float(distances.similarity) - 1 - 1e-9)
     compared = _both_ways(distances.compare(_unordered(members.where(alike), "c", "p", F.col("several"))))
     links = compared.where("d is not null").select("c", F.col("q").alias("p"))
@@ -357,16 +357,18 @@ def _recurse(members: DataFrame, distances: _Distances, work: Workspace) -> tupl
     small = left.where(F.col("size") <= SMALL_REGION).select("g", "c", "n", "most")
     # Regions with one pivot overlap in most members: they go on as one.
     large = work.keep(left.where(F.col("size") > SMALL_REGION).select(F.col("p").alias("g"), "c", "n").distinct())
-    stuck, turn = None, 0
+    rest, turn = large.limit(0).withColumn("size", F.lit(0).cast("long")), 0
     while not large.isEmpty():
         more, left = _further_balls(large, turn, distances, work)
         compared, turn = compared.unionByName(more), turn + 1
-        few, large, rest = _subregions(left, distances, work)
-        small = small.unionByName(few)
-        stuck = rest if stuck is None else stuck.unionByName(rest)
-    if stuck is None:
-        stuck = large.withColumn("size", F.lit(0).cast("long"))
-    return work.keep(compared), small, stuck
+        sizes = left.groupBy("g").agg(F.count("*").alias("size")).where("size > 1")
+        left = work.keep(left.join(sizes, "g"))
+        rest = rest.unionByName(left.where(F.col("size") <= TILE))
+        large = left.where(F.col("size") > TILE)
+        if not large.isEmpty():
+            few, large, tiled = _subregions(large, distances, work)
+            small, rest = small.unionByName(few), rest.unionByName(tiled)
+    return work.keep(compared), small, rest
 
 
 def _further_balls(large: DataFrame, turn: int, distances: _Distances, work: Workspace) -> tuple[DataFrame, DataFrame]:
@@ -385,17 +387,15 @@ def _further_balls(large: DataFrame, turn: int, distances: _Distances, work: Wor
 
 
 def _subregions(left: DataFrame, distances: _Distances, work: Workspace) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The members ``g, c, n`` in regions of their own region's shingles: ``few`` (``g, c, n, most``) of small regions,
-    ``deeper`` (``g, c, n``) of large ones, and ``stuck`` (``g, c, n, size``), regions that are not halved.
+    """The members ``g, c, n, size`` in regions of their own region's shingles: ``few`` (``g, c, n, most``) of small ones,
+    ``deeper`` (``g, c, n``) of those larger than a tile, and ``g, c, n, size`` of regions of one tile and of those
+    that are not halved.
 
     A document is copied to its first floor(r * n) + 1 shingles, those first that few members of the region have. The
     regions that go deeper have half of the members at most, so the recursion ends."""
     missing = 1 - distances.similarity
     num, den = distances.similarity.numerator, distances.similarity.denominator
-    sizes = left.groupBy("g").agg(F.count("*").alias("size")).where("size > 1")
-    left = work.keep(left.join(sizes, "g"))
-    few = left.where(F.col("size") <= SMALL_REGION).select("g", "c", "n", F.floor(F.col("n") * den / num).alias("most"))
-    rows = work.keep(distances.shingles(left.where(F.col("size") > SMALL_REGION)))
+    rows = work.keep(distances.shingles(left))
     shared = rows.groupBy("g", "s").agg(F.count("*").alias("df"))
     place = F.row_number().over(Window.partitionBy("g", "c").orderBy("df", "s"))
     wanted = F.floor(F.col("n") * missing.numerator / missing.denominator) + 1
@@ -405,12 +405,14 @@ def _subregions(left: DataFrame, distances: _Distances, work: Workspace) -> tupl
     met = met.select(F.col("g").alias("top"), F.xxhash64("g", "s").alias("g"), "c", "n", "size", most.alias("most"))
     met = work.keep(met)
     sizes = met.groupBy("top", "g").agg(F.count("*").alias("own"), F.max("size").alias("size")).where("own > 1")
-    stuck = sizes.where((F.col("own") > SMALL_REGION) & (2 * F.col("own") > F.col("size"))).select("top").distinct()
+    stuck = sizes.where((F.col("own") > TILE) & (2 * F.col("own") > F.col("size"))).select("top").distinct()
     sizes = sizes.join(stuck, "top", "left_anti").select("top", "g", "own")
     met = work.keep(met.drop("size").join(sizes, ["top", "g"]))
-    few = few.unionByName(met.where(F.col("own") <= SMALL_REGION).select("g", "c", "n", "most"))
-    deeper = met.where(F.col("own") > SMALL_REGION).select("g", "c", "n").distinct()
+    few = met.where(F.col("own") <= SMALL_REGION).select("g", "c", "n", "most")
+    tile = met.where((F.col("own") > SMALL_REGION) & (F.col("own") <= TILE))
     rest = left.join(stuck.withColumnRenamed("top", "g"), "g", "left_semi").select("g", "c", "n", "size")
+    rest = rest.unionByName(tile.select("g", "c", "n", F.col("own").alias("size")))
+    deeper = met.where(F.col("own") > TILE).select("g", "c", "n").distinct()
     return work.keep(few), work.keep(deeper), work.keep(rest)
 
 

@@ -32,7 +32,7 @@ def rows():
     return [(k, text) for k, text in enumerate(texts)] + [(None, texts[0]), (5, texts[5])]
 
 
-@pytest.mark.parametrize("small, tile, broadcast", [(32, 512, 200_000), (2, 7, 200_000), (4, 3, 0)])
+@pytest.mark.parametrize("small, tile, broadcast", [(32, 512, 200_000), (2, 7, 0)])
 def test_large_regions_equal_brute_force(spark, rows, small, tile, broadcast, monkeypatch):
     for name, value in {"SMALL_REGION": small, "TILE": tile, "BROADCAST_KEYS": broadcast, "EXPLODED": 100, "PIVOTS": 2}.items():
         monkeypatch.setattr(J, name, value)
@@ -51,4 +51,4 @@ def test_large_regions_equal_brute_force(spark, rows, small, tile, broadcast, mo
     want = Counter((r[0], len(s), c) for r, s, c in zip(rows, sets, components([r[0] for r in rows], links)))
     found = J.jaccard_join(docs).collect()
     assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == want
-    assert rounds and (small == 32 or len(rounds) > 1 and any(stuck for _, _, stuck in rounds))
+    assert not rounds if tile == 512 else len(rounds) > 1 and all(map(any, zip(*rounds)))  # each way of a cut is taken
