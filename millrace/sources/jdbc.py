@@ -38,7 +38,11 @@ def table_options(db: Database, table: str, split: tuple[str, int, int, int] | N
     return options
 
 
-def query_options(db: Database, sql: str) -> dict[str, str]:
+def query_options(db: Database, sql: str, split: tuple[str, int, int, int] | None = None) -> dict[str, str]:
+    """Options of a query extract. With ``split``, as in ``table_options`` on a column of the result, the query is
+    read as a derived table, as Spark splits tables only; without, one task reads it all."""
+    if split:
+        return table_options(db, f"({sql.strip().rstrip(';')}) extract_rows", split)
     return {**db.options(), "query": sql}
 
 
@@ -48,8 +52,10 @@ def read_table(
     return spark.read.format("jdbc").options(**table_options(db, table, split)).load()
 
 
-def read_query(spark: SparkSession, db: Database, sql: str) -> DataFrame:
-    return spark.read.format("jdbc").options(**query_options(db, sql)).load()
+def read_query(
+    spark: SparkSession, db: Database, sql: str, split: tuple[str, int, int, int] | None = None
+) -> DataFrame:
+    return spark.read.format("jdbc").options(**query_options(db, sql, split)).load()
 
 
 def day_slice(table: DataFrame, ts: str, day: dt.date | str) -> DataFrame:

@@ -144,6 +144,8 @@ def test_jdbc_options():
     whole = jdbc.table_options(db, "orders", ("id", 0, 1000, 8))
     assert whole["dbtable"] == "orders" and whole["numPartitions"] == "8" and whole["fetchsize"] == "500"
     assert jdbc.query_options(db, "select 1")["query"] == "select 1"
+    split = jdbc.query_options(db, "select id from orders;", ("id", 0, 1000, 8))
+    assert split == {**whole, "dbtable": "(select id from orders) extract_rows"}  # Spark splits no ``query``
 
 
 def test_slices_and_increments(spark):
