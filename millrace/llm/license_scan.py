@@ -12,7 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-COPYRIGHT = r"^[^\p{L}\p{N}©]*(copyright|\(c\)|©)"  # how a copyright line begins, after A-Z are lower-cased
+# How a copyright line begins, after A-Z are lower-cased: the word or its sign, followed by the other one or by a year. A
+# wrapped line of a text that opens with the word alone, or a third item "(c)", is none.
+_GAP, _YEAR = r"[^\p{L}\p{N}©(]*", r"[12][0-9]{3}|[<\[{](year|yyyy)"
+COPYRIGHT = rf"^{_GAP}(copyright{_GAP}(\(c\)|©|{_YEAR})|(\(c\)|©){_GAP}(copyright|{_YEAR}))"
 OTHER = r"[^\p{L}\p{N}]+"  # what separates words
 
 # Spellings that licence matching treats as equal, each with the one it is replaced by.
@@ -67,16 +70,20 @@ def known_licenses(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(LICENSES, "license_id string, text string")
 
 
+def _spaced(words: str) -> str:
+    return " " + words.replace(" ", "  ") + " "
+
+
 def canonical_lines(text: Column) -> Column:
     """The lines of a text with copyright lines emptied, A-Z lower-cased, words joined by single spaces and
     spellings made equal; null for null."""
 
     def canonical(line: Column) -> Column:
-        words = F.concat(F.lit(" "), F.regexp_replace(F.translate(line, UPPER, LOWER), OTHER, " "), F.lit(" "))
-        words = F.regexp_replace(words, " +", " ")
+        # Two blanks between words, so that neighbours share none and each is replaced.
+        words = F.concat(F.lit(" "), F.regexp_replace(F.translate(line, UPPER, LOWER), OTHER, "  "), F.lit(" "))
         for spelling, usual in SPELLINGS:
-            words = F.replace(words, F.lit(f" {spelling} "), F.lit(f" {usual} "))
-        return F.trim(words)
+            words = F.replace(words, F.lit(_spaced(spelling)), F.lit(_spaced(usual)))
+        return F.trim(F.regexp_replace(words, " +", " "))
 
     def line(one: Column) -> Column:
         return F.when(F.translate(one, UPPER, LOWER).rlike(COPYRIGHT), F.lit("")).otherwise(canonical(one))
@@ -121,10 +128,10 @@ def oracle() -> str:
     def quoted(value: str) -> str:
         return "'" + value.replace("'", "''") + "'"
 
-    words = f"' ' || regexp_replace(translate(l, '{UPPER}', '{LOWER}'), '{OTHER}', ' ', 'g') || ' '"
-    words = f"regexp_replace({words}, ' +', ' ', 'g')"
+    words = f"' ' || regexp_replace(translate(l, '{UPPER}', '{LOWER}'), '{OTHER}', '  ', 'g') || ' '"
     for spelling, usual in SPELLINGS:
-        words = f"replace({words}, ' {spelling} ', ' {usual} ')"
+        words = f"replace({words}, '{_spaced(spelling)}', '{_spaced(usual)}')"
+    words = f"regexp_replace({words}, ' +', ' ', 'g')"
     rows = ", ".join(f"({quoted(name)}, {quoted(text)})" for name, text in LICENSES)
     return f"""
     WITH texts AS (
