@@ -6,8 +6,9 @@ which documents of one region can be close to those of another:
 1. *Pivots of one shingle.* From the set {g} every document with shingle g is at the same smallest distance, every
    other one at 1, so the nearest such pivots of a document are its own shingles, the order of pivots deciding
    ties. If d(x, y) <= r, then d(x, x & y) <= r too, so at most r * |x| shingles of x are missing in y: x is
-   copied to the regions of its first floor(r * |x|) + 1 pivots, and any close pair meets in one. Pivots that
-   few documents have come first, counted over all documents, so regions stay small.
+   copied to the regions of its first floor(r * |x|) + 2 pivots, and any close pair of unequal sets, which shares
+   three shingles or more, meets in two. Pivots that few documents have come first, counted over all documents, so
+   regions stay small. Two documents that are alone in a region, and in no second one, are therefore not close.
 2. *Pivots that are documents.* In each region one document is the pivot. Documents within r of it (its ball) are
    linked to it and need no comparing with each other. A document further than 2r from it can have no link into
    the ball. One between r and 2r (the ring) is compared with those members of the ball that the triangle
@@ -147,8 +148,8 @@ def _describe(source: DataFrame) -> DataFrame:
 def _first_pivots(source: DataFrame, frequent: list[tuple[int, int]], similarity: Fraction) -> DataFrame:
     """``k, c, meta``: the regions of each class, once a task; k is the shingle g, with a salt s above 0 in its first bits
     if g is frequent. ``meta`` has the class's size, s, the share of its shingles that are rare, in thousandths, and
-    how large a partner may be, in steps of its own size: all shingles before g are missing in a document first met
-    at g. The steps are coarse, so that neighbouring rows of a document are alike and compress."""
+    how large a partner may be, in steps of its own size: all shingles before g but one are missing in a document met
+    first or second at g. The steps are coarse, so that neighbouring rows of a document are alike and compress."""
     frequent = sorted((np.uint64(g & (2**64 - 1)), df) for g, df in frequent)
     known = np.array([g for g, _ in frequent], np.uint64)
     counts = np.array([df for _, df in frequent], np.int64)
@@ -168,7 +169,7 @@ def _first_pivots(source: DataFrame, frequent: list[tuple[int, int]], similarity
                 if not len(found) or (one := _class_of(found)) in seen:
                     continue
                 seen.add(one)
-                wanted = len(found) * missing.numerator // missing.denominator + 1
+                wanted = len(found) * missing.numerator // missing.denominator + 2
                 maybe = np.flatnonzero(hint[(found & np.uint64(len(hint) - 1)).astype(np.int64)])
                 at = np.searchsorted(known, found[maybe])
                 hit = at < len(known)
@@ -180,7 +181,7 @@ def _first_pivots(source: DataFrame, frequent: list[tuple[int, int]], similarity
                 hot = found[often][np.argsort(counts[at[hit]], kind="stable")][: wanted - len(cold)]
                 salt = 1 + int(one) % SALTS
                 size, chosen = len(found), np.concatenate([cold, hot])
-                left = size - np.arange(len(chosen))
+                left = size + 1 - np.arange(len(chosen))
                 partner = -(-PARTNER_STEPS * (left * whole // part - size) // size)
                 meta = (size << 33) + ((1000 * int(rare.sum()) // size) << 16) + partner
                 meta[len(cold) :] += salt << 26
@@ -218,7 +219,9 @@ def _regions(first: DataFrame, work: Workspace) -> DataFrame:
     met = met.withColumn("fits", (others["n"] <= F.col("most")) & (F.col("n") <= others["most"]))
     apart = (F.col("p.c") != F.col("q.c")) & ((F.col("rows") > 2) | F.col("fits"))
     wanted = (F.col("s") > 0) | (apart & (F.col("c") != F.col("p.c")))
-    shared = work.keep(met.where(wanted).withColumn("several", F.col("rows") > 2).drop("rows", "fits", "w", "k").distinct())
+    # Rows with one k lie together already, so they are made distinct without being moved again.
+    shared = met.where(wanted).withColumn("several", F.col("rows") > 2).withColumn("q", F.when(F.col("s") > 0, F.col("q")))
+    shared = work.keep(shared.drop("rows", "fits", "w").distinct().drop("k"))
     pivots = shared.where("s > 0").groupBy("g").agg(F.min("p").alias("p"), F.max("q").alias("q")).where("p.c != q.c")
     hot = shared.where("s > 0").select("g", "c", "n", "most", F.lit(True).alias("several"))
     pivot = F.col("p.c").alias("p"), F.col("p.n").alias("np")
@@ -333,8 +336,13 @@ def _key(source: DataFrame) -> list:
 
 def _unordered(pairs: DataFrame, a: str, b: str, ring: Column) -> DataFrame:
     """``a, b, ring``: each pair once, with a ring if one of its rows has it."""
+    return _met(pairs, a, b, ring).select("a", "b", "ring")
+
+
+def _met(pairs: DataFrame, a: str, b: str, ring: Column) -> DataFrame:
+    """``a, b, ring, times``: as ``_unordered``, with the number of rows of each pair."""
     ends = pairs.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"), ring.alias("ring"))
-    return ends.groupBy("a", "b").agg(F.max("ring").alias("ring"))
+    return ends.groupBy("a", "b").agg(F.max("ring").alias("ring"), F.count("*").alias("times"))
 
 
 def _both_ways(pairs: DataFrame) -> DataFrame:
@@ -348,7 +356,11 @@ def _recurse(members: DataFrame, distances: _Distances, work: Workspace) -> tupl
     """Ball after ball: ``compared`` (``c, q, low, d``; q a pivot), and what the balls leave over of small regions
     (``g, c, n, most``) and of those that are joined in tiles (``g, c, n, size``)."""
     alike = F.least("n", "np") >= F.greatest("n", "np") * F.lit(2 * float(distances.similarity) - 1 - 1e-9)
-    compared = _both_ways(distances.compare(_unordered(members.where(alike), "c", "p", F.col("several"))))
+    # A close pair meets in two regions. If it is alone in both it has two rows; else a region of several decides it.
+    # Below a half, unequal sets may be linked by a single shingle.
+    times = 2 if 2 * distances.similarity > 1 else 1
+    met = _met(members.where(alike), "c", "p", F.col("several")).where(F.col("ring") | (F.col("times") >= times))
+    compared = _both_ways(distances.compare(met.drop("times")))
     links = compared.where("d is not null").select("c", F.col("q").alias("p"))
     # Where the pivot has met its only other class nothing is left to join.
     left = members.where("several").drop("several", "np").join(links, ["c", "p"], "left_anti")
