@@ -151,7 +151,9 @@ class StoredHistory:
             newest = latest_per_key(rows, [key], ts)
             held = self._open().select(F.col(key).alias("_key"), F.struct(*names, VALID_FROM).alias("_old"))
             newer = F.col("_old").isNull() | (F.col(ts) > F.col(f"_old.{ts}"))
-            changed = keep(newest.join(held, F.col(key) == F.col("_key"), "left").where(newer).withColumn("cut", self._cut()))
+            # Files are far smaller than their rows: by their size a side of millions of keys would be broadcast.
+            both = newest.join(held.hint("merge"), F.col(key) == F.col("_key"), "left")
+            changed = keep(both.where(newer).withColumn("cut", self._cut()))
             per_cut = changed.groupBy("cut").agg(
                 F.count(F.lit(1)).alias("n"), F.count_if(F.col(key).isNull() | F.col(ts).isNull()).alias("undated")
             ).collect()
@@ -166,7 +168,7 @@ class StoredHistory:
         ended = changed.where(F.col("_old").isNotNull()).select("_old.*", F.col(ts).alias(VALID_TO))
         ended.write.parquet(f"{self.root}/closed/generation={generation}")
         opened = changed.select(*names, F.col(ts).alias(VALID_FROM), "cut")
-        kept = self._open(cuts).join(changed.select(self.key), self.key, "left_anti").withColumn("cut", self._cut())
+        kept = self._open(cuts).join(changed.select(self.key).hint("merge"), self.key, "left_anti").withColumn("cut", self._cut())
         rows = kept.select(*names, VALID_FROM, "cut").unionByName(opened)
         rows.hint("rebalance", "cut").write.partitionBy("cut").parquet(f"{self.root}/open/generation={generation}")
         held, closed = self.cuts | dict.fromkeys(cuts, generation), [*self.closed, generation]

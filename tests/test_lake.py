@@ -366,6 +366,20 @@ def test_a_run_writes_only_what_it_touches(spark):
     assert len(set(sizes)) == 1
 
 
+def test_a_run_broadcasts_no_keys(spark):
+    """Files of many keys can be smaller than Spark's limit for broadcasts while their rows fill the driver."""
+    stored = H.StoredHistory(spark, scratch(spark, "history"), "user_id", "updated_at")
+    stored.run(spark.createDataFrame([(f"u{k}", "x", day(1)) for k in range(50)], USERS))
+    limit = "spark.sql.maxBroadcastTableSize"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "1b")  # any broadcast of rows fails
+    try:
+        assert stored.run(spark.createDataFrame([(f"u{k}", "y", day(2)) for k in range(0, 60, 2)], USERS)) == 30
+    finally:
+        spark.conf.set(limit, before)
+    assert stored.current().count() == 55 and stored.versions().count() == 80
+
+
 def test_a_run_that_dies_leaves_the_history_as_it_was(spark, monkeypatch):
     stored = H.StoredHistory(spark, scratch(spark, "history"), "user_id", "updated_at")
     stored.run(spark.createDataFrame([("u1", "Ann", day(1))], USERS))
